@@ -18,7 +18,7 @@ from cardlake.functions.decode import (
     token_flag,
     token_pan,
 )
-from cardlake.functions.tags import tag_value
+from cardlake.functions.tags import order_subfields, tag_value
 from cardlake.functions.text import (
     arn,
     bin_code,
@@ -47,6 +47,7 @@ __all__ = [
     "message_timestamp",
     "message_year",
     "month_bucket",
+    "order_subfields",
     "raw_arn",
     "remote_flag",
     "source_platform",

@@ -25,13 +25,12 @@ _SALT = "_join_salt"
 def estimated_bytes(frame: DataFrame) -> int | None:
     """Size estimate from the optimizer's statistics; runs no job.
 
-    None where the session does not expose them.
+    None on a remote session, which does not expose them.
     """
-    try:
-        stats = frame._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except Exception:
+    plan = getattr(frame, "_jdf", None)
+    if plan is None:
         return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def salted_join(

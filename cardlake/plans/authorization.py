@@ -44,7 +44,11 @@ def _tagged() -> list[Column]:
 def message_fields(messages: DataFrame, column: str = "json_field") -> DataFrame:
     """Simple elements and pivoted sub-fields of every message."""
     parsed = parse_messages(messages, column)
-    return parsed.select("message_id", *_SIMPLE, *_tagged())
+    ordered = {
+        name: fn.order_subfields(F.col(name))
+        for name in map(_subfields, S.TAGGED_ELEMENTS)
+    }
+    return parsed.withColumns(ordered).select("message_id", *_SIMPLE, *_tagged())
 
 
 def authorization_trace(

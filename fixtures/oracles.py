@@ -102,7 +102,7 @@ _FEED = ctes("presentment_feed", "chargeback_feed")
 
 
 def _feed(*columns: str) -> str:
-    return f"{_FEED} select l00027, l00028, {', '.join(columns)} from presentment_feed"
+    return f"{_FEED} select l00026, l00028, {', '.join(columns)} from presentment_feed"
 
 
 def _clearing(body: str) -> str:
@@ -290,21 +290,21 @@ ORACLES = {
         "select arn, circuit, message_type_identifier, fraud_flag, c_activity, "
         "token_requestor_id, abi_code, merchant_address from presentments"
     ),
-    "clearing_filter_presentment": f"{_FEED} select l00027, l00028, l00016, l00045, "
+    "clearing_filter_presentment": f"{_FEED} select l00026, l00028, l00016, l00045, "
     f'l00196, l00255, "day" from presentment_feed where {_PRESENTMENT_WHERE}',
-    "clearing_filter_chargeback": f"{_FEED} select l00027, l00028, l00016, l00045 "
+    "clearing_filter_chargeback": f"{_FEED} select l00026, l00028, l00016, l00045 "
     f"from chargeback_feed where {_CHARGEBACK_WHERE}",
     "bin_lookup_join": _clearing(
-        "select l00027, l00028, l00019, c_tp_addbt from presentment_feed "
+        "select l00026, l00028, l00019, c_tp_addbt from presentment_feed "
         f"join bins on {_BIN} = try_cast(c_pan_visa as bigint)"
     ),
     "issuer_join": _clearing(
-        "select l00027, l00028, l00004 from presentment_feed "
+        "select l00026, l00028, l00004 from presentment_feed "
         "join issuers on l00004 = issuer_code"
     ),
     **{
         f"mcc_group_join_{name}": _clearing(
-            "select l00027, l00028, l00040, mastercard_mc_group_code, mc_description "
+            "select l00026, l00028, l00040, mastercard_mc_group_code, mc_description "
             "from presentment_feed join categories on l00040 = mc_code "
             f"join merchant_groups on {column} = mc_group_code and circuit = 'VISA'"
         )
@@ -319,7 +319,7 @@ ORACLES = {
         "join report_groups r on i.group_code = r.group_code and id = 'GP001'"
     ),
     "wallet_cast_join": _clearing(
-        "select l00027, l00028, l00196 as token_requestor_id, token_requestor_name "
+        "select l00026, l00028, l00196 as token_requestor_id, token_requestor_name "
         "from presentment_feed join wallets "
         "on try_cast(l00196 as bigint) = token_requestor_id "
         "and token_requestor_name = 'Google Pay'"

@@ -13,7 +13,7 @@ from cardlake import sinks
 from cardlake.operators import aggregates, filters, incremental, lookups, matching
 from cardlake.plans import authorization, clearing, report
 from cardlake.sources import day_slice, read_table, ymd_partition
-from fixtures.adapters import messages, view
+from fixtures.adapters import MESSAGES, view
 from fixtures.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,13 +88,13 @@ def fraud_chargeback_readback(spark, sf_dir):
 
 @query
 def json_parse_fields(spark, sf_dir):
-    parsed = authorization.parse_messages(messages(spark, sf_dir))
+    parsed = authorization.parse_messages(view(spark, sf_dir, MESSAGES))
     return parsed.select("message_id", *S.SIMPLE_ELEMENTS.values())
 
 
 @query
 def json_malformed(spark, sf_dir):
-    parsed = authorization.parse_messages(messages(spark, sf_dir))
+    parsed = authorization.parse_messages(view(spark, sf_dir, MESSAGES))
     return parsed.select(
         "message_id",
         "Retrieval_Reference_Number",
@@ -104,7 +104,7 @@ def json_malformed(spark, sf_dir):
 
 @query
 def json_inline_outer(spark, sf_dir):
-    parsed = authorization.parse_messages(messages(spark, sf_dir))
+    parsed = authorization.parse_messages(view(spark, sf_dir, MESSAGES))
     return parsed.select(
         "message_id", "Retrieval_Reference_Number", F.inline_outer("subfields_123")
     )
@@ -112,19 +112,19 @@ def json_inline_outer(spark, sf_dir):
 
 @query
 def tag_pivot(spark, sf_dir):
-    fields = authorization.message_fields(messages(spark, sf_dir))
+    fields = authorization.message_fields(view(spark, sf_dir, MESSAGES))
     names = [n for _, tags in S.TAGGED_ELEMENTS.values() for n in tags.values()]
     return fields.select("message_id", "Retrieval_Reference_Number", *names)
 
 
 @query
 def auth_trace(spark, sf_dir):
-    return authorization.authorization_trace(messages(spark, sf_dir), ELABORATION_DAY)
+    return authorization.authorization_trace(view(spark, sf_dir, MESSAGES), ELABORATION_DAY)
 
 
 @query
 def auth_trace_daily(spark, sf_dir):
-    day = day_slice(messages(spark, sf_dir), "time_stamp", MESSAGE_DAY)
+    day = day_slice(view(spark, sf_dir, MESSAGES), "time_stamp", MESSAGE_DAY)
     return authorization.authorization_trace(day, ELABORATION_DAY)
 
 
@@ -180,7 +180,7 @@ def feed_query(columns: Callable[[], list[Column]]) -> None:
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed = view(spark, sf_dir, "presentment_feed")
-        return feed.select("l00027", "l00028", *columns())
+        return feed.select("l00026", "l00028", *columns())
 
     QUERIES[columns.__name__] = build
 
@@ -256,13 +256,13 @@ def typed_constant_columns(spark, sf_dir):
 @query
 def clearing_filter_presentment(spark, sf_dir):
     kept = filters.keep_presentments(view(spark, sf_dir, "presentment_feed"))
-    return kept.select("l00027", "l00028", "l00016", "l00045", "l00196", "l00255", "day")
+    return kept.select("l00026", "l00028", "l00016", "l00045", "l00196", "l00255", "day")
 
 
 @query
 def clearing_filter_chargeback(spark, sf_dir):
     kept = filters.keep_chargebacks(view(spark, sf_dir, "chargeback_feed"))
-    return kept.select("l00027", "l00028", "l00016", "l00045")
+    return kept.select("l00026", "l00028", "l00016", "l00045")
 
 
 # ------------------------------------------------------------------- joins
@@ -273,7 +273,7 @@ def bin_lookup_join(spark, sf_dir):
     joined = lookups.with_card_type(
         view(spark, sf_dir, "presentment_feed"), view(spark, sf_dir, "bins")
     )
-    return joined.select("l00027", "l00028", "l00019", "c_tp_addbt")
+    return joined.select("l00026", "l00028", "l00019", "c_tp_addbt")
 
 
 @query
@@ -281,7 +281,7 @@ def issuer_join(spark, sf_dir):
     joined = lookups.with_known_issuer(
         view(spark, sf_dir, "presentment_feed"), view(spark, sf_dir, "issuers")
     )
-    return joined.select("l00027", "l00028", "l00004")
+    return joined.select("l00026", "l00028", "l00004")
 
 
 def _categorised(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
@@ -292,7 +292,7 @@ def _categorised(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
         by,
     )
     return joined.select(
-        "l00027", "l00028", "l00040", lookups.ALTERNATE_GROUP, "mc_description"
+        "l00026", "l00028", "l00040", lookups.ALTERNATE_GROUP, "mc_description"
     )
 
 
@@ -319,7 +319,7 @@ def issuer_group_join(spark, sf_dir):
 @query
 def wallet_cast_join(spark, sf_dir):
     feed = view(spark, sf_dir, "presentment_feed")
-    tokens = feed.select("l00027", "l00028", F.col("l00196").alias("token_requestor_id"))
+    tokens = feed.select("l00026", "l00028", F.col("l00196").alias("token_requestor_id"))
     return lookups.with_wallet(tokens, view(spark, sf_dir, "wallets"))
 
 
