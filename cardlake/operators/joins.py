@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest look-up table, in estimated bytes, that is sent to every executor.
-BROADCAST_LIMIT = 64 * 1024 * 1024
+# Largest look-up table, in estimated stored bytes, that is sent to every
+# executor; unpacked in memory it may take several times that.
+BROADCAST_LIMIT = 32 * 1024 * 1024
 # Tasks one key may be spread over when a look-up table is too large for that.
 LOOKUP_SALTS = 16
 

@@ -27,15 +27,17 @@ def authorization_job(
     target: str,
     run_date: str | None = None,
     elaboration_date: str | None = None,
+    gather: bool = False,
 ) -> None:
     """Flattens one day of messages and appends it by message date.
 
     A message date can arrive on several days, so replacing partitions here
-    would lose rows; a day must not be loaded twice.
+    would lose rows; a day must not be loaded twice. ``gather`` shuffles the
+    rows by date before writing, for days that hold many dates.
     """
     day = day_slice(read_table(spark, messages), "time_stamp", run_date)
     rows = authorization_trace(day, elaboration_date)
-    append_partitions(rows, target, ["Token_Date"], gather=False)
+    append_partitions(rows, target, ["Token_Date"], gather=gather)
 
 
 def _stored_mark(

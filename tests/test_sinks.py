@@ -73,6 +73,24 @@ def test_layout_sorts_inside_files(spark, tmp_path):
         assert values == sorted(values)
 
 
+def test_layout_splits_a_dominant_value(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    hot = F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(-1)
+    frame = spark.range(0, 300_000, 1, 8).select(
+        hot.cast("string").alias("p"), F.xxhash64("id").alias("n")
+    )
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "256k")
+    try:
+        sinks.append_partitions(frame, path, ["p"], sort=["n"])
+    finally:
+        spark.conf.set(setting, before)
+    files = [f for f in os.listdir(f"{path}/p=-1") if f.endswith(".orc")]
+    assert len(files) > 2
+    assert read_table(spark, path).count() == 300_000
+
+
 def test_typed_nulls_can_be_stored(spark, sf_dir, tmp_path):
     path = str(tmp_path / "clearing")
     sinks.overwrite(QUERIES["chargeback"](spark, sf_dir), path)
@@ -86,9 +104,6 @@ def dates(spark, *values):
     return spark.createDataFrame([(v,) for v in values], "d string")
 
 
-NUMBER = "d"
-
-
 def newer(source, target):
     number = incremental.text_date_number(F.col("d"))
     mark = None if target is None else incremental.high_water_mark(target, number)
