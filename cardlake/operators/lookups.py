@@ -1,4 +1,4 @@
-"""Joins with the reference tables of the card business."""
+"""Joins with the look-up tables of the card business."""
 
 from __future__ import annotations
 
