@@ -13,6 +13,7 @@ from cardlake.llm import (
     packing,
     quality,
     secrets,
+    similar,
     urlrules,
     warc,
 )
@@ -121,6 +122,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*result.columns, F.when(is_query, F.col("__n") - 1).alias("n_near"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.linked_documents(_read(spark, sf_dir, "documents"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.rotated(_read(spark, sf_dir, "conversations"))
     spans = F.array_join(
@@ -160,6 +165,7 @@ QUERIES = {
     "op3_secret_scans": op3_secret_scans,
     "op4_warc": op4_warc,
     "op5_fingerprints": op5_fingerprints,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
     "op10_decontamination": op10_decontamination,

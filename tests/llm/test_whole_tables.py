@@ -146,3 +146,10 @@ def test_chat(result, table):
     rows = result("op7_chat")
     assert {(r.conv_id, r.speaker): (r.n_turns, r.rendered, r["mask"]) for r in rows} == expected
     assert len(rows) == len(expected)
+
+
+def test_jaccard_join(result, table):
+    expected = brute.components(table("documents", "doc_id, text"))
+    rows = result("op6_jaccard_join")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
+    assert len(rows) == len(expected)
