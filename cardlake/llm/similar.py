@@ -5,8 +5,9 @@
 2. In order of rising bucket count, two sets that are similar enough share one of their
    first few shingles (prefix filter). Sets that share one meet in a tile of that shingle
    and of sizes that fit each other.
-3. In a tile, signatures of 256 bits bound the overlap of a pair from above.
-4. Pairs that the bound lets pass are intersected exactly.
+3. In a tile, signatures of 256 bits bound the overlap of a pair from above. Pairs that
+   pass are bounded again by signatures of twice as many bits as shingles.
+4. Pairs that both bounds let pass are intersected exactly.
 
 Tiles are gone through twice: first each set is compared with the one before it that looks
 most alike, which joins large groups of near copies by few comparisons; then all pairs that
@@ -23,9 +24,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from cardlake.llm.components import components
 from cardlake.llm.shared import stored
@@ -33,7 +33,7 @@ from cardlake.llm.shared import stored
 SHINGLE = 4
 PERCENT = 85
 #: Hash buckets of the shingle counts; broadcast as one byte each.
-BUCKETS = 1 << 20
+BUCKETS = 1 << 22
 #: Sets of a tile beyond which a shingle's sets are dealt over several tiles.
 TILE = 8192
 #: Sets up to this number are broadcast to fetch their texts; beyond, it is a shuffle.
@@ -78,6 +78,21 @@ def signature(hashes: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
+def wide_signature(hashes: np.ndarray) -> bytes:
+    """The same with at least twice as many bits as shingles, a power of two."""
+    power = max(8, (2 * len(hashes) - 1).bit_length())
+    counts = np.bincount((hashes >> np.uint64(64 - power)).astype(np.int64), minlength=1 << power)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def signatures_apart(one: bytes, two: bytes) -> int:
+    """Differing bits, after folding the longer signature to the length of the other."""
+    small, large = sorted((np.frombuffer(x, np.uint8) for x in (one, two)), key=len)
+    while len(large) > len(small):
+        large = np.packbits(np.bitwise_xor.reduce(np.unpackbits(large).reshape(-1, 2), axis=1))
+    return int(np.bitwise_count(small ^ large).sum(dtype=np.int64))
+
+
 def prefix_length(size: int, percent: int) -> int:
     """Of so many first shingles a similar set has at least one."""
     return size - -(-percent * size // 100) + 1
@@ -121,9 +136,10 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_name(s) for s in sets], pa.int64()),
                     pa.array([signature(s) for s in sets], pa.binary()),
+                    pa.array([wide_signature(s) for s in sets], pa.binary()),
                     pa.nulls(len(sets), pa.binary()),
                 ],
-                names=["id", "n", "name", "bits", "counts"],
+                names=["id", "n", "name", "bits", "wide", "counts"],
             )
         if counts.any():
             yield pa.RecordBatch.from_arrays(
@@ -132,13 +148,14 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                     pa.array([0], pa.int64()),
                     pa.array([0], pa.int64()),
                     pa.nulls(1, pa.binary()),
+                    pa.nulls(1, pa.binary()),
                     pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary()),
                 ],
-                names=["id", "n", "name", "bits", "counts"],
+                names=["id", "n", "name", "bits", "wide", "counts"],
             )
 
     return docs.mapInArrow(
-        hashed, f"id {id_type}, n long, name long, bits binary, counts binary"
+        hashed, f"id {id_type}, n long, name long, bits binary, wide binary, counts binary"
     )
 
 
@@ -255,7 +272,7 @@ def _tile_pairs(rows: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            if held.num_rows < 30_000:
+            if held.num_rows < 100_000:
                 continue
             columns, starts = _groups(held)
             if len(starts) > 1:
@@ -336,8 +353,41 @@ def _block(columns, later, earlier, percent: int, all_pairs: bool):
     return name[p], name[q]
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose sets are alike, by exact intersection."""
+def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the wide signatures let pass."""
+
+    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [
+                may_link(na, nb, signatures_apart(one, two), percent)
+                for _, _, na, nb, one, two in zip(
+                    *(c.to_pylist() for c in batch.columns), strict=True
+                )
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = nodes.select(
+        F.col("name").alias("a"), F.col("n").alias("na"), F.col("wide").alias("one")
+    )
+    right = nodes.select(
+        F.col("name").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("two")
+    )
+    return (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .select("a", "b", "na", "nb", "one", "two")
+        .mapInArrow(checked, "a long, b long")
+    )
+
+
+def _linked(
+    pairs: DataFrame, docs: DataFrame, nodes: DataFrame, unique: bool, width: int, percent: int
+) -> DataFrame:
+    """The pairs whose sets are alike: bounded by wide signatures, then intersected."""
+    pairs = stored(_bounded(pairs, nodes, percent), "pairs")
+    meeting = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    meeting = stored(nodes.join(meeting, "name").select("name", "id"), "meeting")
+    texts = stored(_texts(docs, meeting, unique, width), "texts")
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, _EMPTY
@@ -359,8 +409,8 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     )
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """One text of every set in ``nodes`` (name, id)."""
+def _texts(docs: DataFrame, nodes: DataFrame, unique: bool, width: int) -> DataFrame:
+    """One text of every set in ``nodes`` (name, id). ``unique``: no id occurs twice."""
     wanted = nodes.select(F.col("id").alias("__id"), F.col("name").alias("__name"))
     if nodes.count() <= BROADCAST_SETS:
         wanted = F.broadcast(wanted)
@@ -371,13 +421,13 @@ def _texts(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             same = pa.array(np.array(names, np.int64) == batch.column(0).to_numpy())
             yield batch.filter(same)
 
-    # ids may repeat: only rows with the wanted set pass, and equal ones once
-    return (
-        docs.join(wanted, F.col("id").eqNullSafe(F.col("__id")))
-        .select(F.col("__name").alias("name"), "text")
-        .mapInArrow(named, "name long, text string")
-        .dropDuplicates(["name"])
+    found = docs.join(wanted, F.col("id").eqNullSafe(F.col("__id"))).select(
+        F.col("__name").alias("name"), "text"
     )
+    if unique:
+        return found
+    # of rows that repeat an id only those with the wanted set pass, and equal ones once
+    return found.mapInArrow(named, "name long, text string").dropDuplicates(["name"])
 
 
 def linked_documents(
@@ -402,10 +452,15 @@ def linked_documents(
     named = sets.where("n > 0")
     nodes = stored(
         named.groupBy("name").agg(
-            F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits")
+            F.min("id").alias("id"),
+            F.first("n").alias("n"),
+            F.first("bits").alias("bits"),
+            F.first("wide").alias("wide"),
         ),
         "nodes",
     )
+    repeated = sets.where("counts is null").groupBy("id").count().where("count > 1")
+    unique = not repeated.limit(1).count()
     group = Window.partitionBy("shingle", "deal")
     prefixes = (
         _prefixes(rows, counts, width, percent)
@@ -415,15 +470,10 @@ def linked_documents(
         .select("shingle", "deal", "deals", "name", "n")
     )
     shared = stored(prefixes, "prefixes")
-    meeting = shared.select("name").distinct()
-    texts = stored(
-        _texts(rows, stored(nodes.join(meeting, "name").select("name", "id"), "meeting"), width),
-        "texts",
-    )
     about = nodes.select("name", "bits")
     first = shared.join(about, "name").withColumn("root", F.col("name"))
     pairs = _tile_pairs(_tile_rows(first, percent, False), percent, False)
-    links = stored(_linked(pairs, texts, width, percent), "links")
+    links = stored(_linked(pairs, rows, nodes, unique, width, percent), "links")
     roots = components(links)
     # what is left: groups that still hold several components
     about = stored(
@@ -441,7 +491,7 @@ def linked_documents(
     )
     rest = rest.join(stored(several, "several"), "shingle", "left_semi")
     pairs = _tile_pairs(_tile_rows(rest, percent, True), percent, True)
-    more = stored(_linked(pairs, texts, width, percent), "more-links")
+    more = stored(_linked(pairs, rows, nodes, unique, width, percent), "more-links")
     roots = components(links.union(more))
     # ids by component, then back to every row
     placed = nodes.select("name", "id").join(roots, F.col("name") == F.col("node"), "left")
