@@ -12,6 +12,7 @@ from cardlake.llm import (
     fingerprints,
     packing,
     quality,
+    repeats,
     secrets,
     similar,
     urlrules,
@@ -144,6 +145,20 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(_read(spark, sf_dir, "documents"))
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminated(
         _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
@@ -168,5 +183,6 @@ QUERIES = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontamination": op10_decontamination,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import decontamination, packing, quality, secrets
+from cardlake.llm import decontamination, packing, quality, secrets, similar
 from cardlake.llm.queries import TOKENIZER
 from cardlake.llm.shared import stored
 
@@ -16,6 +16,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.scored(docs, voters).where("predicted = 1").select(*docs.columns)
 
 
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies.
+
+    Runs of five words, a Jaccard likeness of 0.8 or more.
+    """
+    return similar.one_of_each(docs, width=5, percent=80)
+
+
 def clean_of_tests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth lies in benchmark passages."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -39,6 +47,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", good_quality),
+    ("n-gram Jaccard join", one_of_near_copies),
     ("benchmark decontamination", clean_of_tests),
     ("secret scans", without_secrets),
     ("best-fit packing", packed),

@@ -153,3 +153,10 @@ def test_jaccard_join(result, table):
     rows = result("op6_jaccard_join")
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
     assert len(rows) == len(expected)
+
+
+def test_suffix_dedup(result, table):
+    expected = brute.repeats(table("documents", "doc_id, text"))
+    rows = result("op9_suffix_dedup")
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == expected
+    assert len(rows) == len(expected) and any(r.n_spans > 1 for r in rows)
