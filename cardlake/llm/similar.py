@@ -5,7 +5,7 @@
 2. In order of rising bucket count, two sets that are similar enough share one of their
    first few shingles (prefix filter). Sets that share one meet in a tile of that shingle
    and of sizes that fit each other.
-3. In a tile, signatures of 256 bits bound the overlap of a pair from above. Pairs that
+3. In a tile, signatures of 512 bits bound the overlap of a pair from above. Pairs that
    pass are bounded again by signatures of twice as many bits as shingles.
 4. Pairs that both bounds let pass are intersected exactly.
 
@@ -33,13 +33,15 @@ from cardlake.llm.shared import stored
 SHINGLE = 4
 PERCENT = 85
 #: Hash buckets of the shingle counts; broadcast as one byte each.
-BUCKETS = 1 << 22
+BUCKETS = 1 << 21
 #: Sets of a tile beyond which a shingle's sets are dealt over several tiles.
 TILE = 8192
+#: Pairs that a task remembers, so as not to give them again from another tile.
+REMEMBERED = 300_000
 #: Sets up to this number are broadcast to fetch their texts; beyond, it is a shuffle.
 BROADCAST_SETS = 2_000_000
 #: Buckets' counts are added in so many tasks before the driver adds the rest.
-ADDERS = 8
+ADDERS = 4
 
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64
@@ -73,14 +75,14 @@ def set_name(hashes: np.ndarray) -> int:
 
 
 def signature(hashes: np.ndarray) -> bytes:
-    """256 bits, each the parity of the shingles that hash to it."""
-    counts = np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=256)
+    """512 bits, each the parity of the shingles that hash to it."""
+    counts = np.bincount((hashes >> np.uint64(55)).astype(np.int64), minlength=512)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
 def wide_signature(hashes: np.ndarray) -> bytes:
     """The same with at least twice as many bits as shingles, a power of two."""
-    power = max(8, (2 * len(hashes) - 1).bit_length())
+    power = max(9, (2 * len(hashes) - 1).bit_length())
     counts = np.bincount((hashes >> np.uint64(64 - power)).astype(np.int64), minlength=1 << power)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
@@ -269,19 +271,31 @@ def _tile_pairs(rows: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
+        told: set[tuple[int, int]] = set()
+
+        def fresh(pairs: np.ndarray) -> pa.RecordBatch:
+            """Pairs that this task has not told yet; it forgets them all from time to time."""
+            if len(told) > REMEMBERED:
+                told.clear()
+            new = [p for p in map(tuple, pairs.tolist()) if p not in told]
+            told.update(new)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p[i] for p in new], pa.int64()) for i in (0, 1)], names=["a", "b"]
+            )
+
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            if held.num_rows < 100_000:
+            if held.num_rows < 50_000:
                 continue
             columns, starts = _groups(held)
             if len(starts) > 1:
-                yield _checked(columns, starts[:-1], starts[1:], percent, all_pairs)
+                yield fresh(_checked(columns, starts[:-1], starts[1:], percent, all_pairs))
                 held = held.slice(int(starts[-1])).combine_chunks()
         if held is not None and held.num_rows:
             columns, starts = _groups(held)
             ends = np.append(starts[1:], held.num_rows)
-            yield _checked(columns, starts, ends, percent, all_pairs)
+            yield fresh(_checked(columns, starts, ends, percent, all_pairs))
 
     return (
         rows.repartition(*_KEYS)
@@ -298,7 +312,7 @@ def _groups(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
     }
     columns["bits"] = np.frombuffer(
         b"".join(table.column("bits").to_pylist()), np.uint64
-    ).reshape(-1, 4)
+    ).reshape(-1, 8)
     new = np.zeros(table.num_rows, bool)
     new[0] = True
     for key in _KEYS:
@@ -306,7 +320,7 @@ def _groups(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
     return columns, np.flatnonzero(new)
 
 
-def _checked(columns, starts, ends, percent: int, all_pairs: bool) -> pa.RecordBatch:
+def _checked(columns, starts, ends, percent: int, all_pairs: bool) -> np.ndarray:
     """Pairs of the groups; groups of equal size are compared together."""
     sizes = ends - starts
     found_a, found_b = [], []
@@ -316,7 +330,7 @@ def _checked(columns, starts, ends, percent: int, all_pairs: bool) -> pa.RecordB
             later = np.arange(first, min(first + 256, size))
             # rows are sorted by size and name: a pair is looked at from its larger set
             earlier = np.arange(0, later[-1] + 1)
-            step = max(1, 2_000_000 // (len(later) * len(earlier)))
+            step = max(1, 400_000 // (len(later) * len(earlier)))
             for some in range(0, len(group_starts), step):
                 base = group_starts[some : some + step, None]
                 a, b = _block(
@@ -326,10 +340,7 @@ def _checked(columns, starts, ends, percent: int, all_pairs: bool) -> pa.RecordB
                 found_b.append(b)
     a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
     b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"]
-    )
+    return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
 
 
 def _block(columns, later, earlier, percent: int, all_pairs: bool):
