@@ -32,8 +32,6 @@ GRAM = 32
 CHUNK = 2_000_000
 #: Bytes of stretches of one gram beyond which its strings are dealt out.
 HOT = 4_000_000
-#: Stretches up to this number are broadcast to fetch their bytes; beyond, a shuffle.
-BROADCAST_STRETCHES = 1_000_000
 #: Starts of a text that are handled at once.
 _PIECE = 1 << 18
 
@@ -302,8 +300,6 @@ def _with_bytes(rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     per_row = wanted.groupBy("doc", "mark").agg(
         F.collect_list("gram").alias("grams"), F.collect_list("place").alias("places")
     )
-    if wanted.count() <= BROADCAST_STRETCHES:
-        per_row = F.broadcast(per_row)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
