@@ -33,13 +33,15 @@ from cardlake.llm.shared import stored
 SHINGLE = 4
 PERCENT = 85
 #: Hash buckets of the shingle counts; broadcast as one byte each.
-BUCKETS = 1 << 21
+BUCKETS = 1 << 22
 #: Sets of a tile beyond which a shingle's sets are dealt over several tiles.
 TILE = 8192
 #: Pairs that a task remembers, so as not to give them again from another tile.
 REMEMBERED = 300_000
 #: Sets up to this number are broadcast to fetch their texts; beyond, it is a shuffle.
 BROADCAST_SETS = 2_000_000
+#: Texts of one step within a task.
+STEP = 1024
 #: Buckets' counts are added in so many tasks before the driver adds the rest.
 ADDERS = 4
 
@@ -119,19 +121,27 @@ def _band(size, percent: int):
     return F.floor(F.log(size.cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
 
 
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that little is unpacked at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, STEP):
+            yield batch.slice(first, STEP)
+
+
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     """Per row: id, n, name, signature; and per task a row with its bucket counts."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
+        counts = np.zeros(BUCKETS, np.int32)
         kind = None
-        for batch in batches:
+        for batch in _steps(batches):
             kind = batch.schema.field(0).type
             sets = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
             if sets:
                 low = np.concatenate(sets) & np.uint64(BUCKETS - 1)
-                counts += np.bincount(low.astype(np.int64), minlength=BUCKETS)
+                bucket, n = np.unique(low.astype(np.int64), return_counts=True)
+                counts[bucket] += n.astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -168,7 +178,7 @@ def _bucket_counts(sets: DataFrame) -> np.ndarray:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for blob in batch.column(0).to_pylist():
-                total += np.frombuffer(zlib.decompress(blob), np.int64)
+                total += np.frombuffer(zlib.decompress(blob), np.int32)
         yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(total.tobytes(), 1)]})
 
     blobs = sets.where("counts is not null").select("counts").repartition(ADDERS)
@@ -192,7 +202,7 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, width: int, percent: int) ->
         order_of, seen = sparing.value, set()
         expected = np.maximum(0.0, 2.0 ** (np.arange(256) / 4) - 8 * usual)
         deals_of = np.maximum(1, np.ceil(expected / TILE)).astype(np.int64)
-        for batch in batches:
+        for batch in _steps(batches):
             shingles, names, sizes, steps_found = [], [], [], []
             for text in batch.column(0).to_pylist():
                 hashes = shingle_set(text, width)
