@@ -240,23 +240,20 @@ def _tile_rows(shared: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
     """Each row in the tiles it belongs to: (shingle, low, high, band), side, guest.
 
     A set stands in the tile of its band, and as a guest in that of the next, where it
-    meets larger ones. A dealt shingle has a tile for each pair of deals if all pairs are to
+    meets larger ones if there are any. A dealt shingle has a tile for each pair of deals if all pairs are to
     meet, otherwise one for each deal and one with the first.
     """
     other = F.sequence(F.lit(0), F.col("deals") - 1) if all_pairs else F.array_distinct(
         F.array(F.col("deal"), F.lit(0))
     )
     band = _band(F.col("n"), percent)
+    home = F.struct(band.alias("band"), F.lit(0).alias("guest"))
+    away = F.struct((band + 1).alias("band"), F.lit(1).alias("guest"))
     return (
         shared.withColumn("other", F.explode(other))
         .withColumn(
             "at",
-            F.explode(
-                F.array(
-                    F.struct(band.alias("band"), F.lit(0).alias("guest")),
-                    F.struct((band + 1).alias("band"), F.lit(1).alias("guest")),
-                )
-            ),
+            F.explode(F.when(F.col("larger"), F.array(home, away)).otherwise(F.array(home))),
         )
         .select(
             "shingle",
@@ -487,8 +484,21 @@ def linked_documents(
         _prefixes(rows, counts, width, percent)
         .withColumn("least", F.min("name").over(group))
         .withColumn("most", F.max("name").over(group))
-        .where("least < most or deals > 1")
-        .select("shingle", "deal", "deals", "name", "n")
+        .withColumn("largest", F.max("n").over(group))
+        .withColumn("before", F.lag("n").over(group.orderBy("n")))
+        .withColumn("after", F.lead("n").over(group.orderBy("n")))
+        # some other set of the shingle has a size that fits
+        .where(
+            (F.col("deals") > 1)
+            | (F.col("least") < F.col("most"))
+            & ((100 * F.col("before") >= percent * F.col("n"))
+               | (100 * F.col("n") >= percent * F.col("after")))
+        )
+        .withColumn(
+            "larger",
+            (F.col("deals") > 1) | (_band(F.col("largest"), percent) > _band(F.col("n"), percent)),
+        )
+        .select("shingle", "deal", "deals", "name", "n", "larger")
     )
     shared = stored(prefixes, "prefixes")
     about = nodes.select("name", "bits")
