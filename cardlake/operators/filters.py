@@ -23,7 +23,7 @@ def keep_presentments(feed: DataFrame) -> DataFrame:
     header text.
     """
     return feed.where(
-        (F.col("day") != S.HEADER_DAY)
+        (F.col("day").cast("string") != S.HEADER_DAY)
         & _first_usage(S.PRESENTMENT_CODES)
         & F.col("l00255").isNotNull()
         & F.col("l00196").isNotNull()

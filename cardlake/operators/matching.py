@@ -22,10 +22,12 @@ def inherit_from_presentment(
     """Adds the inherited columns of every presentment with the chargeback's ARN.
 
     The chargeback's ARN is compared as delivered, while stored presentments
-    carry a stripped one; ``strip_keys`` strips both. An ARN shared by several
-    presentments repeats the chargeback.
+    carry a stripped one; ``strip_keys`` strips both. A missing or blank ARN
+    matches nothing. An ARN shared by several presentments repeats the chargeback.
     """
-    key = fn.arn() if strip_keys else fn.raw_arn()
+    key = fn.raw_arn()
+    if strip_keys:
+        key = F.when(key.isNotNull() & (fn.arn() != ""), fn.arn())
     originals = presentments.select(
         F.col("arn").alias(_ARN), *S.INHERITED_COLUMNS, "trace_id"
     ).withColumnRenamed("trace_id", "_trace")

@@ -7,17 +7,17 @@ the other only grows; the report reads both.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake import functions as fn
 from cardlake import schemas as S
-from cardlake.operators import incremental
 from cardlake.plans.authorization import authorization_trace
 from cardlake.plans.clearing import chargebacks, clearing_union, presentments
 from cardlake.plans.report import fraud_report
 from cardlake.sinks import append, append_partitions, overwrite, replace_partitions
-from cardlake.sources import day_slice, read_table, table_exists, ymd_partition
+from cardlake.sources import day_slice, read_table, ymd_partition
 
 
 def authorization_job(
@@ -40,14 +40,6 @@ def authorization_job(
     append_partitions(rows, target, ["Token_Date"], gather=gather)
 
 
-def _stored_mark(
-    spark: SparkSession, target: str, number: Column
-) -> DataFrame | None:
-    if not table_exists(spark, target):
-        return None
-    return incremental.high_water_mark(read_table(spark, target), number)
-
-
 def _feed(
     spark: SparkSession, source: str, run_date: str | None, partitioned: bool
 ) -> DataFrame:
@@ -64,24 +56,25 @@ def presentment_job(
     categories: str,
     groups: str,
     target: str,
-    only_newer: bool = False,
+    run_date: str | None = None,
+    daily: bool = False,
 ) -> None:
     """Rebuilds the presentment table.
 
-    With ``only_newer`` the table is kept, and transactions after its newest
-    transaction date are appended.
+    ``daily`` reads one year/month/day partition of the feed instead and appends it. The
+    day is that of the import: transaction dates tell nothing about what is
+    loaded, since rows come late and a December transaction imported in January
+    gets the later year. A day must not be loaded twice.
     """
     rows = presentments(
-        read_table(spark, feed),
+        _feed(spark, feed, run_date, daily),
         read_table(spark, issuers),
         read_table(spark, bins),
         read_table(spark, categories),
         read_table(spark, groups),
     )
-    if only_newer:
-        number = incremental.text_date_number(F.col("transaction_date"))
-        mark = _stored_mark(spark, target, number)
-        append(incremental.newer_than(rows, number, mark), target)
+    if daily:
+        append(rows, target)
     else:
         overwrite(rows, target, sort=["transaction_date"])
 
@@ -112,7 +105,7 @@ def chargeback_job(
         raise ValueError("replace needs the whole feed, not one day of it")
     rows = chargebacks(
         _feed(spark, feed, run_date, daily),
-        read_table(spark, clearing),
+        read_table(spark, clearing, text=["transaction_date"]),
         read_table(spark, bins),
         read_table(spark, categories),
         read_table(spark, groups),
@@ -134,18 +127,23 @@ def report_job(
     periods: str,
     wallets: str,
     target: str,
-    only_newer: bool = False,
+    months: Sequence[str] | None = None,
     report_id: str = S.REPORT_ID,
     wallet_name: str = S.WALLET_NAME,
     salts: int = 1,
 ) -> None:
     """Rebuilds the monthly report.
 
-    With ``only_newer`` the stored report is kept, and groups whose last date
-    is after its newest one are appended.
+    With ``months`` only these (``yyyyMM``) are computed, whole, and replace their
+    partitions of a report stored by month. Name every month that new
+    presentments or chargebacks fall into; late ones are then counted, and no group is
+    stored twice.
     """
     report = fraud_report(
-        clearing_union(read_table(spark, presented), read_table(spark, charged_back)),
+        clearing_union(
+            read_table(spark, presented, text=["transaction_date"]),
+            read_table(spark, charged_back, text=["transaction_date"]),
+        ),
         read_table(spark, issuers),
         read_table(spark, report_groups),
         read_table(spark, periods),
@@ -154,13 +152,8 @@ def report_job(
         wallet_name=wallet_name,
         salts=salts,
     )
-    if only_newer:
-        number = fn.date_number(
-            F.col("year_of_last_elaboration_date"),
-            F.col("month_of_last_elaboration_date"),
-            F.col("day_of_last_elaboration_date"),
-        )
-        mark = _stored_mark(spark, target, number)
-        append(incremental.newer_than(report, number, mark), target)
-    else:
+    if months is None:
         overwrite(report, target)
+    else:
+        chosen = report.where(F.col("month_of_report").isin(list(months)))
+        replace_partitions(chosen, target, ["month_of_report"])

@@ -17,13 +17,29 @@ def read_table(
     *,
     format: str = "orc",
     schema: T.StructType | None = None,
+    text: Sequence[str] = (),
 ) -> DataFrame:
-    """A catalog table (``db.name``) or, when the source holds a slash, a path."""
+    """A catalog table (``db.name``) or, when the source holds a slash, a path.
+
+    ``text`` names partition columns that hold text. Read by path, Spark would guess
+    their type from their values, and a guessed date fails on an impossible one.
+    """
     if "/" not in source:
         frame = spark.table(source)
     else:
         reader = spark.read.format(format)
         frame = (reader if schema is None else reader.schema(schema)).load(source)
+        guessed = [
+            c for c in text if c in frame.columns and frame.schema[c].dataType != T.StringType()
+        ]
+        if guessed:
+            declared = T.StructType(
+                [
+                    T.StructField(f.name, T.StringType()) if f.name in guessed else f
+                    for f in frame.schema
+                ]
+            )
+            frame = spark.read.format(format).schema(declared).load(source)
     return frame if columns is None else frame.select(*columns)
 
 

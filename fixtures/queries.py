@@ -429,9 +429,7 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written(spark: SparkSession, path: str) -> DataFrame:
-    stored = read_table(spark, path)
-    # Partition values are typed by inference when a path is read.
-    return stored.withColumn("order_month", F.col("order_month").cast("string"))
+    return read_table(spark, path, text=["order_month"])
 
 
 @query

@@ -23,5 +23,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     Only a session that names no such folder, as in tests, gets a local one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_base()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid4().hex}"

@@ -237,3 +237,10 @@ def test_counting_equals_pairing(spark, sf_dir):
     pairs = matching.match_fraud(presented_rows, fraud).where("cb_arn is not null")
     counted = matching.count_fraud(presented_rows, fraud)
     assert pairs.count() == counted.agg({"fraud_count": "sum"}).first()[0]
+
+
+def test_stripped_keys_leave_missing_arns_unmatched(spark):
+    original = presented(spark, {"l00028": None})
+    blank = dict.fromkeys(["l00026", "l00027", "l00028", "l00029", "l00030"], " ")
+    for change in ({"l00028": None}, blank):
+        assert charged_back(spark, original, change, change, strip_keys=True).count() == 0
