@@ -252,7 +252,8 @@ def packed(pieces_frame: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Columns named ``sequence_id`` or ``offset`` are replaced.
     """
     kept = [c for c in pieces_frame.columns if c not in ("sequence_id", "offset")]
-    frame = pieces_frame.select(*kept)
+    # written first: encoding and ranking then never hold two workers of one task
+    frame = stored(pieces_frame.select(*kept), "unranked")
     at = kept.index("length")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
 
