@@ -560,4 +560,5 @@ def one_of_each(
         .distinct(),
         "kept",
     )
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
+    # by shuffle at every size: the kept ids grow with the corpus
+    return docs.join(kept.hint("merge"), F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")

@@ -1,0 +1,138 @@
+"""Nulls, empty and repeated rows, clashing columns and empty tables."""
+
+from __future__ import annotations
+
+import public_tokenizers
+import pytest
+
+from cardlake.llm import (
+    chat,
+    decontamination,
+    fingerprints,
+    packing,
+    quality,
+    repeats,
+    secrets,
+    similar,
+    urlrules,
+    warc,
+)
+from cardlake.llm.shared import shared_path
+from tests.llm import brute
+
+LONG = " ".join(f"w{i % 977}x{i}" for i in range(3000))
+DOCS = [
+    (1, None), (2, ""), (3, LONG), (4, LONG), (4, LONG), (5, "password = hunter22x "),
+    (None, "a few words"), (6, "short"), (7, LONG + " more"), (8, " \n\t "),
+]
+SCHEMA = "doc_id long, text string, source string, lang string, length int, name string, n int"
+
+
+@pytest.fixture(scope="module", params=[True, False], ids=["rows", "empty"])
+def docs(spark, request):
+    rows = [(i, t, None, "en", 7, "x", 1) for i, t in DOCS] if request.param else []
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_packing(docs):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = packing.packed(packing.pieces(docs, path)).collect()
+    count = docs.count()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows) >= count
+    assert sum(r.length == 1 for r in rows) == (2 if count else 0)
+
+
+def test_secrets(docs):
+    spans = secrets.judged_spans(docs, ["source", "lang"], "source")
+    rows = secrets.with_spans(docs, spans).collect()
+    assert len(rows) == docs.count()
+    assert all(bool(r.secret_spans) == (r.doc_id == 5) for r in rows)
+    text = secrets.redacted(spans_column("text"), spans_column("secret_spans"))
+    found = {r[0] for r in secrets.with_spans(docs, spans).select(text).collect()}
+    assert not found or "[SECRET] " in found
+
+
+def spans_column(name):
+    from pyspark.sql import functions as F
+
+    return F.col(name)
+
+
+def test_fingerprints(docs):
+    rows = [r for r in fingerprints.in_order(docs, 4).collect() if not r.guest]
+    assert len(rows) == docs.count()
+    found = fingerprints.fingerprinted(docs.distinct(), "text", ["doc_id", "text"], []).collect()
+    assert len({r.fingerprint for r in found if not (r.text or "").strip()}) <= 1
+
+
+def test_similar(docs):
+    rows = {(r.doc_id, r.component_id) for r in similar.linked_documents(docs).collect()}
+    if docs.count():
+        assert rows == {
+            (1, 1), (2, 2), (3, 3), (4, 3), (5, 5), (None, None), (6, 6), (7, 3), (8, 8),
+        }
+    assert len(similar.one_of_each(docs).collect()) == (7 if docs.count() else 0)
+
+
+def test_repeats(docs):
+    rows = repeats.without_repeats(docs).collect()
+    assert len(rows) == docs.count()
+    removed = {(r.doc_id, sum(s.end - s.start for s in r.spans)) for r in rows}
+    if rows:
+        size = len(LONG.encode())
+        assert {(3, 0), (4, size), (7, size), (None, 0)} <= removed
+
+
+def test_decontamination(spark, docs):
+    items = spark.createDataFrame([(1, "a few words"), (2, None)], "item_id long, text string")
+    rows = decontamination.decontaminated(docs, items).collect()
+    assert {r.doc_id for r in rows if r.contaminated} == ({None} if rows else set())
+    kept = decontamination.without_contaminated(docs, items)
+    assert kept.count() == max(0, len(rows) - 1) and kept.columns == docs.columns
+    assert decontamination.decontaminated(docs, items.limit(0)).count() == len(rows)
+
+
+def test_quality(spark, docs):
+    labels = spark.createDataFrame([(3, 1, 0), (6, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    for some in (labels, labels.limit(0)):
+        rows = quality.scored(docs, quality.trained(docs, some)).collect()
+        assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_urls_and_warc(spark):
+    schema = "page_id long, url string, html string, host int, payload string"
+    some = [
+        (1, None, None, 1, "x"), (2, "no scheme", "", 1, "x"), (None, "http://a.org/x", "b", 1, "x"),
+        (3, "http://A.Example.com/en/1\r\nX: y", "b", 1, "x"), (3, "https://a.net/es/", "é" * 300000, 1, "x"),
+    ]
+    for rows in (some, []):
+        pages = spark.createDataFrame(rows, schema)
+        judged = urlrules.filtered_urls(pages).collect()
+        assert len(judged) == len(rows) and all(r.verdict for r in judged)
+        folder = shared_path(spark, "edges")
+        found = warc.read_archives(warc.write_archives(pages, folder), folder).collect()
+        assert len(found) == len(rows)
+        assert {(r.page_id, r.record_type) for r in found if r.payload_bytes == 1} == (
+            {(3, "response"), (None, "revisit")} if rows else set()
+        )
+
+
+def test_chat(spark):
+    schema = "conv_id long, turn int, role string, text string, part string"
+    rows = [(None, None, None, None, "x"), (1, 0, "system", "s", "x"), (2, 1, "a", "<|im_end|>", "x"),
+            (2, 300, "b", "t", "x"), (2, 300, "b", "t", "x")]
+    found = chat.rotated(spark.createDataFrame(rows, schema)).collect()
+    assert {(r.conv_id, r.speaker, r.part, r.n_turns) for r in found} == {
+        (None, "unknown", 0, 1), (2, "a", 0, 1), (2, "b", 0, 1), (2, "a", 1, 2), (2, "b", 1, 2),
+    }
+    assert not chat.rotated(spark.createDataFrame([], schema)).collect()
+
+
+def test_hot_gram_goes_by_strings(spark, monkeypatch):
+    """Stretches of one gram beyond the limit give the same repeats."""
+    monkeypatch.setattr(repeats, "HOT", 300)
+    shared = "abcdefghijklmnopqrstuvwxyz0123456789" * 4
+    rows = [(i, f"{chr(65 + i) * 9}{shared}{chr(75 + i) * 9}") for i in range(6)]
+    found = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: sum(s.end - s.start for s in r.spans) for r in found.collect()}
+    assert got == {i: v[1] for i, v in brute.repeats(rows).items()}
