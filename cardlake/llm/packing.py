@@ -108,9 +108,9 @@ class Encoder:
 
 
 @cache
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, remembered: int) -> Encoder:
     """One encoder for all tasks of a worker."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -128,19 +128,21 @@ def pieces(
     end_id: int = END_ID,
     id_col: str = "doc_id",
     text_col: str = "text",
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Token pieces of every row: id, piece, start, length, ids (binary).
 
     ``ids`` holds little-endian unsigned 32-bit token ids, each document's last
     one being ``end_id``. Null and empty texts give one piece with that id alone.
     Documents of at most ``capacity`` tokens are never cut. Rows with equal ids
-    each give their own pieces. Other columns of ``docs`` are not returned.
+    each give their own pieces. ``remembered`` words are kept by each worker, also
+    between tasks: fewer need less memory and more time. Other columns of ``docs`` are not returned.
     """
     end = np.array([end_id], "<u4").tobytes()
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_path)
+        encoder = _encoder(tokenizer_path, remembered)
         for batch in batches:
             for first in range(0, batch.num_rows, STEP):
                 yield cut_up(encoder, batch.slice(first, STEP))

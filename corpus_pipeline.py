@@ -41,7 +41,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per token piece with its place in a sequence."""
-    found = packing.pieces(docs, TOKENIZER).withColumn("ids_crc32", F.crc32("ids"))
+    # workers are used again by other stages, so they keep fewer words here
+    found = packing.pieces(docs, TOKENIZER, remembered=300_000).withColumn("ids_crc32", F.crc32("ids"))
     return packing.packed(found.drop("ids"))
 
 
