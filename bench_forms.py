@@ -58,9 +58,12 @@ def main() -> None:
     def table(name):
         return view(spark, sf_dir, name)
 
+    def table_of(clearing):
+        return spark.read.orc(clearing)
+
     def report_tables(clearing=path):
         names = ("issuers", "report_groups", "periods", "wallets")
-        return [spark.read.orc(clearing), *map(table, names)]
+        return [table_of(clearing), *map(table, names)]
 
     tags = [n for _, t in S.TAGGED_ELEMENTS.values() for n in t.values()]
     simple = list(S.SIMPLE_ELEMENTS.values())
@@ -79,11 +82,11 @@ def main() -> None:
         ),
         "fraud report": (
             lambda: literal.literal_report(*report_tables()),
-            lambda: report.fraud_report(*report_tables()),
+            lambda: report.fraud_report(table_of(path), *report_tables()),
         ),
         "fraud report, dominant key": (
             lambda: literal.literal_report(*report_tables(skewed)),
-            lambda: report.fraud_report(*report_tables(skewed)),
+            lambda: report.fraud_report(table_of(skewed), *report_tables(skewed)),
         ),
     }
     for name in sys.argv[1:] or forms:

@@ -1,7 +1,7 @@
 """Equi-joins that hold when a table grows or one key dominates.
 
 Two cases occur. A look-up table is broadcast while Spark's own size estimate
-proves it small; past that limit, and for joins of two large tables, the join
+and the files it is read from prove it small; past that limit, and for joins of two large tables, the join
 shuffles. A key held by a large share of the rows is then split over several
 tasks by a salt. Nothing is dropped, capped or sampled in either case.
 """
@@ -34,6 +34,40 @@ def estimated_bytes(frame: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def stored_bytes(frame: DataFrame) -> int | None:
+    """Bytes in the files below a frame, listed now; 0 without files.
+
+    Statistics of a catalog table stay as they were when another writer adds to it.
+    None when a table's place is not known.
+    """
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    hadoop = frame.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        kind = leaf.getClass().getSimpleName()
+        if kind == "HiveTableRelation":
+            return None
+        if kind != "LogicalRelation":
+            continue
+        if leaf.relation().getClass().getSimpleName() != "HadoopFsRelation":
+            return None
+        roots = leaf.relation().location().rootPaths()
+        for j in range(roots.size()):
+            root = roots.apply(j)
+            total += root.getFileSystem(hadoop).getContentSummary(root).getLength()
+    return total
+
+
+def surely_within(frame: DataFrame, limit: int) -> bool:
+    """Whether both the estimate and the files below stay within ``limit`` bytes."""
+    estimate = estimated_bytes(frame)
+    if estimate is None or estimate > limit:
+        return False
+    stored = stored_bytes(frame)
+    return stored is not None and stored <= limit
+
+
 def salted_join(
     large: DataFrame,
     small: DataFrame,
@@ -85,8 +119,7 @@ def lookup_join(
     """
     keyed = facts.withColumn(_KEY, fact_key)
     keyed_lookup = lookup.withColumn(_KEY, lookup_key)
-    size = estimated_bytes(keyed_lookup)
-    if size is not None and size <= limit:
+    if surely_within(keyed_lookup, limit):
         joined = keyed.join(F.broadcast(keyed_lookup), [_KEY])
     else:
         joined = salted_join(keyed, keyed_lookup, [_KEY], salts=salts, spread=spread)

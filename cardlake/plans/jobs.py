@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cardlake import schemas as S
 from cardlake.plans.authorization import authorization_trace
-from cardlake.plans.clearing import chargebacks, clearing_union, presentments
+from cardlake.plans.clearing import chargebacks, presentments
 from cardlake.plans.report import fraud_report
 from cardlake.sinks import append, append_partitions, overwrite, replace_partitions
 from cardlake.sources import day_slice, read_table, ymd_partition
@@ -140,10 +140,8 @@ def report_job(
     stored twice.
     """
     report = fraud_report(
-        clearing_union(
-            read_table(spark, presented, text=["transaction_date"]),
-            read_table(spark, charged_back, text=["transaction_date"]),
-        ),
+        read_table(spark, presented, text=["transaction_date"]),
+        read_table(spark, charged_back, text=["transaction_date"]),
         read_table(spark, issuers),
         read_table(spark, report_groups),
         read_table(spark, periods),

@@ -23,7 +23,8 @@ _MONTHLY = ["month_of_report", *_DAILY[1:]]
 
 
 def fraud_report(
-    clearing: DataFrame,
+    presented: DataFrame,
+    charged_back: DataFrame,
     issuers: DataFrame,
     report_groups: DataFrame,
     periods: DataFrame,
@@ -35,7 +36,7 @@ def fraud_report(
 ) -> DataFrame:
     """Fraud amount and count per month, issuer, BIN, wallet and currency.
 
-    Presentments are cut down to the report's issuers, periods and wallet
+    Both message types may also come from one table, given twice. Presentments are cut down to the report's issuers, periods and wallet
     before they are shuffled, once, to meet the fraud counts. Groups without
     fraud stay, with count 0.
 
@@ -43,7 +44,7 @@ def fraud_report(
     only numbers in its buffers, so it hashes; the newest date, a text that
     would force a sort of its input, is taken from the few daily rows.
     """
-    presented = filters.stored_presentments(clearing).select(
+    presented = filters.stored_presentments(presented).select(
         *S.REPORT_PRESENTMENT_COLUMNS
     )
     presented = lookups.with_wallet(presented, wallets, wallet_name)
@@ -52,7 +53,7 @@ def fraud_report(
     )
     presented = lookups.within_validity(presented, periods)
     counted = matching.count_fraud(
-        presented, filters.stored_fraud_chargebacks(clearing), salts=salts
+        presented, filters.stored_fraud_chargebacks(charged_back), salts=salts
     )
     hits = F.col("fraud_count")
     # No match adds nothing; a match with an unreadable amount is left out of

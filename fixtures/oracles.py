@@ -70,6 +70,7 @@ _PRESENTMENTS = f"""
     where {_PRESENTMENT_WHERE}
 """
 
+_SAME_ARN = "own.raw_arn = p.arn"
 _CHARGEBACKS = f"""
     select own.*, p.mdes_flag, p.dpan, p.token_assur_lev, p.v_rcnc, p.c_dv_rcnc,
         p.p_exp_rcnc
@@ -85,7 +86,7 @@ _CHARGEBACKS = f"""
         join bins on {_BIN} = try_cast(c_pan_visa as bigint)
         where {_CHARGEBACK_WHERE}
     ) own
-    join presentments p on own.raw_arn = p.arn
+    join presentments p on {_SAME_ARN}
 """
 
 _LAYOUT = ", ".join(S.CLEARING_COLUMNS)
@@ -99,6 +100,12 @@ _CLEARING_CTES = ctes(
     presentments=_PRESENTMENTS, chargebacks=_CHARGEBACKS, clearing=_CLEARING,
 )
 _FEED = ctes("presentment_feed", "chargeback_feed")
+# Several readers of a query's result share it.
+_MATERIALIZED_CTES = _CLEARING_CTES
+for _name in ("presentments", "chargebacks", "clearing"):
+    _MATERIALIZED_CTES = _MATERIALIZED_CTES.replace(
+        f"\n{_name} as (", f"\n{_name} as materialized ("
+    )
 
 
 def _feed(*columns: str) -> str:
@@ -144,6 +151,12 @@ def _parts(date: str, suffix: str = "") -> str:
     )
 
 
+_DATED_REPORT = (
+    "select * exclude (last_date), "
+    f"{_parts('try_cast(last_date as date)', '_of_last_elaboration_date')} "
+    f"from ({_REPORT}) r"
+)
+
 # ----------------------------------------------------------- authorization
 
 _READABLE = "case when shape <> 'broken' then {} end"
@@ -331,8 +344,14 @@ ORACLES = {
     ),
     "presentment": _clearing(f"select {_LAYOUT} from presentments"),
     "chargeback": _clearing(f"select {_LAYOUT} from chargebacks"),
+    "chargeback_stripped": _clearing(f"select {_LAYOUT} from chargebacks").replace(
+        _SAME_ARN, "trim(own.raw_arn) = p.arn and p.arn <> ''"
+    ),
     "clearing_union": _clearing("select * from clearing"),
-    "presentment_chargeback_left": _clearing(
+    "clearing_stored_by_date": _clearing("select * from clearing"),
+    "presentment_incremental": _clearing(f"select {_LAYOUT} from presentments"),
+    "presentment_chargeback_left": f"{_MATERIALIZED_CTES} "
+    + (
         f"select {', '.join('fp.' + c for c in S.REPORT_PRESENTMENT_COLUMNS)}, "
         "cb.reason_code as cb_reason_code, "
         "cb.clearing_file_name as cb_clearing_file_name "
@@ -342,11 +361,7 @@ ORACLES = {
     "sum(coalesce(try_cast(l00033 as double), 0)) "
     f"/ pow(10, cast({_EXPONENT} as double)) as amount "
     "from presentment_feed group by l00004, l00034",
-    "fraud_report": _clearing(
-        f"select * exclude (last_date), "
-        f"{_parts('try_cast(last_date as date)', '_of_last_elaboration_date')} "
-        f"from ({_REPORT}) r"
-    ),
+    "fraud_report": _clearing(_DATED_REPORT),
     "high_water_mark": f"select o_orderkey, {_ORDER_DATE} as transaction_date, "
     f"{_DATE_NUMBER} as date_number from orders where {_DATE_NUMBER} > "
     f"(select coalesce(max({_DATE_NUMBER}), 0) from orders "
@@ -359,4 +374,8 @@ ORACLES = {
     + _ORDER_ROWS.format(status="'X'")
     + f" where o_orderpriority <> '5-LOW' and year(o_orderdate) = {MESSAGE_DAY[:4]}",
     "sink_sorted_layout": _ALL_ORDERS,
+    "sink_sorted_files": "select order_month, count(*) as n_rows, "
+    f"cast(0 as bigint) as n_unsorted from ({_ALL_ORDERS}) o group by 1",
+    "json_event_fields": "select event_id, json_extract_string(props, '$.k') as k, "
+    "json_extract_string(props, '$.absent') as absent from events",
 }

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardlake import functions as fn
 from cardlake import schemas as S
 from cardlake import sinks
 from cardlake.operators import aggregates, filters, incremental, lookups, matching
-from cardlake.plans import authorization, clearing, report
+from cardlake.plans import authorization, clearing, jobs, report
 from cardlake.sources import day_slice, read_table, ymd_partition
 from fixtures.adapters import MESSAGES, view
 from fixtures.scratch import scratch_path
@@ -86,6 +86,14 @@ def fraud_chargeback_readback(spark, sf_dir):
 # -------------------------------------------------------------------- JSON
 
 
+@query
+def json_event_fields(spark, sf_dir):
+    """Fields of JSON text that Spark did not write; one that is absent is NULL."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    parsed = F.from_json("props", "k string, absent string")
+    return events.select("event_id", parsed.alias("p")).select("event_id", "p.k", "p.absent")
+
+
 @query
 def json_parse_fields(spark, sf_dir):
     parsed = authorization.parse_messages(view(spark, sf_dir, MESSAGES))
@@ -356,6 +364,18 @@ def chargeback(spark, sf_dir):
     )
 
 
+@query
+def chargeback_stripped(spark, sf_dir):
+    return clearing.chargebacks(
+        view(spark, sf_dir, "chargeback_feed"),
+        presentment(spark, sf_dir),
+        view(spark, sf_dir, "bins"),
+        view(spark, sf_dir, "categories"),
+        view(spark, sf_dir, "merchant_groups"),
+        strip_keys=True,
+    )
+
+
 @query
 def clearing_union(spark, sf_dir):
     return clearing.clearing_union(presentment(spark, sf_dir), chargeback(spark, sf_dir))
@@ -390,8 +410,10 @@ def scaled_amount_sum(spark, sf_dir):
 
 @query
 def fraud_report(spark, sf_dir):
+    stored = clearing_union(spark, sf_dir)
     return report.fraud_report(
-        clearing_union(spark, sf_dir),
+        stored,
+        stored,
         view(spark, sf_dir, "issuers"),
         view(spark, sf_dir, "report_groups"),
         view(spark, sf_dir, "periods"),
@@ -468,3 +490,73 @@ def sink_sorted_layout(spark, sf_dir):
         rows, path, ["order_month"], sort=["order_date", "o_orderkey"]
     )
     return _written(spark, path)
+
+
+@query
+def sink_sorted_files(spark, sf_dir):
+    """Per month, the rows and how many of them follow a larger one in their file."""
+    rows, path = order_rows(spark, sf_dir), scratch_path(spark, "files")
+    sinks.append_partitions(
+        rows, path, ["order_month"], sort=["order_date", "o_orderkey"]
+    )
+    read = _written(spark, path).select(
+        "order_month",
+        F.struct("order_date", "o_orderkey").alias("row"),
+        F.col("_metadata.file_path").alias("file"),
+        F.spark_partition_id().alias("task"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    before = F.lag("row").over(Window.partitionBy("file", "task").orderBy("place"))
+    late = F.when(before > F.col("row"), 1).otherwise(0)
+    return (
+        read.withColumn("late", late)
+        .groupBy("order_month")
+        .agg(F.count("*").alias("n_rows"), F.sum("late").alias("n_unsorted"))
+    )
+
+
+# ----------------------------------------------------- jobs, run several times
+
+
+def _stored_lookups(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, str]:
+    paths = {n: scratch_path(spark, n) for n in names}
+    for name, path in paths.items():
+        sinks.overwrite(view(spark, sf_dir, name), path)
+    return paths
+
+
+@query
+def presentment_incremental(spark, sf_dir):
+    """Presentments loaded day of import by day of import; rows come late in the second."""
+    feed, target = scratch_path(spark, "feed"), scratch_path(spark, "presented")
+    load_day = F.when(F.col("day") == S.HEADER_DAY, F.col("day")).otherwise(
+        F.when(F.col("l00032") < "0700", "02").otherwise("01")
+    )
+    parts = {"year": F.lit("2024"), "month": F.lit("01"), "day": load_day}
+    # a row without a day is no presentment, so its place must not give it one
+    rows = view(spark, sf_dir, "presentment_feed").where("day is not null").withColumns(parts)
+    sinks.append_partitions(rows, feed, list(parts))
+    tables = _stored_lookups(spark, sf_dir, "issuers", "bins", "categories", "merchant_groups")
+    tables["groups"] = tables.pop("merchant_groups")
+    for run_date in ("2024-01-01", "2024-01-02"):
+        jobs.presentment_job(
+            spark, feed=feed, target=target, daily=True, run_date=run_date, **tables
+        )
+    return read_table(spark, target)
+
+
+def _stored_clearing(spark: SparkSession, sf_dir: str, late: Column) -> tuple[str, str]:
+    """Both clearing tables without their late rows: presentments, chargebacks by date."""
+    presented, back = scratch_path(spark, "presented"), scratch_path(spark, "charged-back")
+    sinks.overwrite(presentment(spark, sf_dir).where(~late), presented)
+    sinks.append_partitions(chargeback(spark, sf_dir).where(~late), back, ["transaction_date"])
+    return presented, back
+
+
+@query
+def clearing_stored_by_date(spark, sf_dir):
+    """The clearing tables read by path, one of them stored by date."""
+    presented, back = _stored_clearing(spark, sf_dir, F.lit(False))
+    return clearing.clearing_union(
+        read_table(spark, presented), read_table(spark, back, text=["transaction_date"])
+    )

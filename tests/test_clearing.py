@@ -148,6 +148,7 @@ def report(spark, clearing, periods=(("2020-12-31", "2020-12-31"),), **options):
     groups = [("G", "GP001"), ("H", "GP002")]
     wallets = [(50120834693, "Google Pay"), (50120834693, "Other")]
     return fraud_report(
+        clearing,
         clearing,
         issuers(spark),
         spark.createDataFrame(groups, "group_code string, id string"),
@@ -227,7 +228,7 @@ def test_counting_equals_pairing(spark, sf_dir):
         view(spark, sf_dir, n) for n in ("issuers", "report_groups", "periods", "wallets")
     ]
     literal = literal_report(clearing, *tables)
-    ours = fraud_report(clearing, *tables)
+    ours = fraud_report(clearing, clearing, *tables)
     names = ["month_of_report", "issuer_code", "bin_code", "total_transaction",
              "reconciliation_amount"]
     assert spark_rows(ours.select(*names)) == spark_rows(literal.select(*names))

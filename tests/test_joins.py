@@ -117,3 +117,28 @@ def test_copies_are_counted_not_paired(spark):
     assert {r.fraud_count for r in counted.collect()} == {50}
     pairs = matching.match_fraud(fp, copies)
     assert pairs.count() == 2500
+
+
+def test_stale_statistics_force_no_broadcast(spark):
+    """Files another writer added count, whatever the catalog still says."""
+    spark.sql("create database if not exists stale")
+    try:
+        spark.range(10).selectExpr("cast(id as string) k2", "id w").write.format(
+            "parquet"
+        ).saveAsTable("stale.lookup")
+        spark.sql("analyze table stale.lookup compute statistics")
+        folder = spark.table("stale.lookup").inputFiles()[0].rsplit("/", 1)[0]
+        limit = 4 * joins.estimated_bytes(spark.table("stale.lookup"))
+        spark.range(200_000).selectExpr(
+            "cast(id as string) k2", "xxhash64(id) w"
+        ).write.mode("append").parquet(folder)
+        spark.catalog.refreshTable("stale.lookup")
+        lookup = spark.table("stale.lookup")
+        assert joins.estimated_bytes(lookup) <= limit < joins.stored_bytes(lookup)
+        assert not joins.surely_within(lookup, limit)
+        joined = joins.lookup_join(
+            skewed(spark), F.col("k"), lookup, F.col("k2"), limit=limit
+        )
+        assert "strategy=broadcast" not in joined._jdf.queryExecution().logical().toString()
+    finally:
+        spark.sql("drop database stale cascade")
