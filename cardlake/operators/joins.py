@@ -1,9 +1,10 @@
 """Equi-joins that hold when a table grows or one key dominates.
 
 Two cases occur. A look-up table is broadcast while Spark's own size estimate
-and the files it is read from prove it small; past that limit, and for joins of two large tables, the join
-shuffles. A key held by a large share of the rows is then split over several
-tasks by a salt. Nothing is dropped, capped or sampled in either case.
+and the files it is read from prove it small; past that limit, and for joins of
+two large tables, the join shuffles. A key held by a large share of the rows is
+then split over several tasks: by adaptive execution where both sides come
+straight from a shuffle, else by a salt. Nothing is dropped, capped or sampled.
 """
 
 from __future__ import annotations
@@ -16,8 +17,6 @@ from pyspark.sql import functions as F
 # Largest look-up table, in estimated stored bytes, that is sent to every
 # executor; unpacked in memory it may take several times that.
 BROADCAST_LIMIT = 32 * 1024 * 1024
-# Tasks one key may be spread over when a look-up table is too large for that.
-LOOKUP_SALTS = 16
 
 _KEY = "_join_key"
 _SALT = "_join_salt"
@@ -86,7 +85,8 @@ def salted_join(
     and identical rows from different partitions still separate.
 
     With one salt this is a plain join, and splitting a dominant key is left to
-    adaptive execution.
+    adaptive execution. That needs no copies, but it cannot split a join that uses
+    the partitioning of an aggregate; more salts give such a side its own shuffle.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
@@ -109,13 +109,15 @@ def lookup_join(
     lookup_key: Column,
     *,
     limit: int = BROADCAST_LIMIT,
-    salts: int = LOOKUP_SALTS,
+    salts: int = 1,
     spread: Sequence[str] = (),
 ) -> DataFrame:
     """Inner join of a large table with a look-up table on two key expressions.
 
     The result has the columns of both sides. Rows whose key is NULL or has no
-    partner drop out; several partners multiply the row.
+    partner drop out; several partners multiply the row. A look-up beyond
+    ``limit`` bytes is shuffled; ``salts`` is for sessions that do not split skewed
+    partitions by themselves.
     """
     keyed = facts.withColumn(_KEY, fact_key)
     keyed_lookup = lookup.withColumn(_KEY, lookup_key)

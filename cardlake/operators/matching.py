@@ -9,6 +9,9 @@ from cardlake import functions as fn
 from cardlake import schemas as S
 from cardlake.operators.joins import salted_join
 
+# Tasks the presentments of one key are spread over to meet their fraud count.
+COUNT_SALTS = 16
+
 _ARN = "_raw_arn"
 
 
@@ -52,13 +55,14 @@ def match_fraud(presentments: DataFrame, chargebacks: DataFrame) -> DataFrame:
 
 
 def count_fraud(
-    presentments: DataFrame, chargebacks: DataFrame, *, salts: int = 1
+    presentments: DataFrame, chargebacks: DataFrame, *, salts: int = COUNT_SALTS
 ) -> DataFrame:
     """Adds ``fraud_count``, the number of matching chargebacks; NULL for none.
 
     Chargebacks are counted per key before they meet the presentments. A key
     then has one row on that side, so presentments are never multiplied, and
     however many chargebacks repeat a key, map-side partial counts carry them.
+    The counts are few against the presentments, so each is copied per salt.
     """
     present = F.lit(True)
     for key in S.MATCH_KEYS:

@@ -6,7 +6,7 @@ from cardlake.plans.authorization import (
     parse_messages,
 )
 from cardlake.plans.clearing import chargebacks, clearing_union, presentments
-from cardlake.plans.report import fraud_report
+from cardlake.plans.report import fraud_report, touched_months
 
 __all__ = [
     "authorization_trace",
@@ -16,4 +16,5 @@ __all__ = [
     "message_fields",
     "parse_messages",
     "presentments",
+    "touched_months",
 ]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake import schemas as S
+from cardlake.operators.matching import COUNT_SALTS
 from cardlake.plans.authorization import authorization_trace
 from cardlake.plans.clearing import chargebacks, presentments
 from cardlake.plans.report import fraud_report
@@ -127,17 +128,17 @@ def report_job(
     periods: str,
     wallets: str,
     target: str,
-    months: Sequence[str] | None = None,
+    months: Sequence[str | None] | None = None,
     report_id: str = S.REPORT_ID,
     wallet_name: str = S.WALLET_NAME,
-    salts: int = 1,
+    salts: int = COUNT_SALTS,
 ) -> None:
     """Rebuilds the monthly report.
 
-    With ``months`` only these (``yyyyMM``) are computed, whole, and replace their
-    partitions of a report stored by month. Name every month that new
-    presentments or chargebacks fall into; late ones are then counted, and no group is
-    stored twice.
+    With ``months`` only these (``yyyyMM``, None for unreadable dates) are computed,
+    whole, and replace their partitions of a report stored by month. Name every
+    month that ``touched_months`` gives for new presentments and chargebacks; late
+    ones are then counted, and no group is stored twice.
     """
     report = fraud_report(
         read_table(spark, presented, text=["transaction_date"]),
@@ -153,5 +154,9 @@ def report_job(
     if months is None:
         overwrite(report, target)
     else:
-        chosen = report.where(F.col("month_of_report").isin(list(months)))
+        named = [m for m in months if m is not None]
+        wanted = F.col("month_of_report").isin(named)
+        if None in months:
+            wanted = wanted | F.col("month_of_report").isNull()
+        chosen = report.where(wanted)
         replace_partitions(chosen, target, ["month_of_report"])

@@ -32,13 +32,14 @@ def fraud_report(
     *,
     report_id: str = S.REPORT_ID,
     wallet_name: str = S.WALLET_NAME,
-    salts: int = 1,
+    salts: int = matching.COUNT_SALTS,
 ) -> DataFrame:
     """Fraud amount and count per month, issuer, BIN, wallet and currency.
 
-    Both message types may also come from one table, given twice. Presentments are cut down to the report's issuers, periods and wallet
-    before they are shuffled, once, to meet the fraud counts. Groups without
-    fraud stay, with count 0.
+    Both message types may also come from one table, given twice. Presentments
+    are cut down to the report's issuers, periods and wallet before they are
+    shuffled, once, to meet the fraud counts. Groups without fraud stay, with
+    count 0.
 
     Totals are formed per day first and per month after. The daily step keeps
     only numbers in its buffers, so it hashes; the newest date, a text that
@@ -92,3 +93,22 @@ def fraud_report(
         }
     )
     return report.select(*S.REPORT_COLUMNS)
+
+
+def touched_months(
+    presented: DataFrame, new_presented: DataFrame, new_charged_back: DataFrame
+) -> DataFrame:
+    """Months of the report that new rows change, one row each: ``month_of_report``.
+
+    These are the months of the new presentments, and those of all presentments,
+    ``presented``, that a new fraud chargeback matches: a chargeback counts in the
+    month of its presentment, whatever its own date. NULL stands for unreadable
+    dates.
+    """
+    month = fn.month_bucket(F.col("transaction_date")).alias("month_of_report")
+    keys = filters.stored_fraud_chargebacks(new_charged_back).select(*S.MATCH_KEYS)
+    matched = filters.stored_presentments(presented).join(
+        keys, S.MATCH_KEYS, "left_semi"
+    )
+    added = filters.stored_presentments(new_presented)
+    return added.select(month).union(matched.select(month)).distinct()

@@ -75,7 +75,9 @@ def replace_partitions(
 ) -> None:
     """Replaces the partitions that occur in ``frame`` and leaves the others.
 
-    Safe to run again, but only for a frame that holds its partitions whole.
+    Safe to run again, but only for a frame that holds its partitions whole. For a
+    catalog table the session's overwrite mode is changed while it writes, as an
+    insert takes no mode of its own: overwrite no other table meanwhile.
     """
     rows = laid_out(frame, by, sort)
     if "/" in target:

@@ -362,6 +362,7 @@ ORACLES = {
     f"/ pow(10, cast({_EXPONENT} as double)) as amount "
     "from presentment_feed group by l00004, l00034",
     "fraud_report": _clearing(_DATED_REPORT),
+    "report_incremental": _clearing(_DATED_REPORT),
     "high_water_mark": f"select o_orderkey, {_ORDER_DATE} as transaction_date, "
     f"{_DATE_NUMBER} as date_number from orders where {_DATE_NUMBER} > "
     f"(select coalesce(max({_DATE_NUMBER}), 0) from orders "

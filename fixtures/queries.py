@@ -560,3 +560,24 @@ def clearing_stored_by_date(spark, sf_dir):
     return clearing.clearing_union(
         read_table(spark, presented), read_table(spark, back, text=["transaction_date"])
     )
+
+
+@query
+def report_incremental(spark, sf_dir):
+    """A report by month, brought up to date for late presentments and chargebacks."""
+    late = F.coalesce(F.substring("transaction_date", 9, 2) > "20", F.lit(False))
+    presented, back = _stored_clearing(spark, sf_dir, late)
+    tables = _stored_lookups(spark, sf_dir, "issuers", "report_groups", "periods", "wallets")
+    target = scratch_path(spark, "report")
+    inputs = {"presented": presented, "charged_back": back, "target": target, **tables}
+
+    def months(*new: DataFrame) -> list[str | None]:
+        return [r[0] for r in report.touched_months(read_table(spark, presented), *new).collect()]
+
+    first = read_table(spark, presented), read_table(spark, back, text=["transaction_date"])
+    jobs.report_job(spark, months=months(*first), **inputs)
+    new = presentment(spark, sf_dir).where(late), chargeback(spark, sf_dir).where(late)
+    sinks.append(new[0], presented)
+    sinks.append_partitions(new[1], back, ["transaction_date"])
+    jobs.report_job(spark, months=months(*new), **inputs)
+    return read_table(spark, target, text=["month_of_report"])

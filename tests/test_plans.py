@@ -6,7 +6,10 @@ import re
 
 import pytest
 
-from cardlake.operators import filters, lookups
+from pyspark.sql import functions as F
+
+from cardlake import schemas as S
+from cardlake.operators import filters, joins, lookups, matching
 from cardlake.plans import authorization_trace, fraud_report, presentments
 from cardlake.sources import day_slice
 from fixtures.adapters import MESSAGES, view
@@ -95,3 +98,61 @@ def test_report_reads_each_stored_table_once(spark, sf_dir, tmp_path):
     plan = physical(frame)
     for path in paths:
         assert len(re.findall(rf"InMemoryFileIndex[^\n]*{path}", plan)) == 1
+
+
+@pytest.fixture
+def splitting(spark):
+    """Settings under which small data is shuffled, and split like large data."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings if k != "spark.sql.autoBroadcastJoinThreshold"}
+    before["spark.sql.autoBroadcastJoinThreshold"] = "10485760"
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def half_hot(spark, rows=20000):
+    """Rows of which every second has the key ``hot``."""
+    key = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string"))
+    return spark.range(0, rows, numPartitions=8).withColumn("key", key)
+
+
+def rows_of_tasks(frame) -> list[int]:
+    return [r[1] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_report_spreads_a_hot_key_by_default(spark, splitting):
+    day = (F.col("id") % 28 + 1).cast("string")
+    presented = half_hot(spark).select(
+        *[F.col("key").alias(k) for k in S.MATCH_KEYS],
+        F.concat(F.lit("2024-01-"), F.lpad(day, 2, "0")).alias("transaction_date"),
+        F.lit("i").alias("issuer_code"),
+        F.lit("b").alias("bin_code"),
+    )
+    back = half_hot(spark, 2000).select(*[F.col("key").alias(k) for k in S.MATCH_KEYS])
+    counted = matching.count_fraud(presented, back)
+    sizes = rows_of_tasks(counted)
+    assert sum(sizes) == 20000 and max(sizes) < 20000 / 5
+    hot = counted.where("arn = 'hot'").groupBy("fraud_count").count().collect()
+    assert [tuple(r) for r in hot] == [(1000, 10000)]
+
+
+def test_large_lookup_has_a_hot_key_split_at_run_time(spark, splitting):
+    lookup = half_hot(spark, 2000).select(F.col("key").alias("code")).distinct()
+    lookup = lookup.select("code", F.length("code").alias("size"))
+    facts = half_hot(spark)
+    joined = joins.lookup_join(facts, F.col("key"), spark.createDataFrame(lookup.collect()),
+                               F.col("code"), limit=0)
+    joined.collect()
+    assert "skew=true" in physical(joined)
+    sizes = rows_of_tasks(joined)
+    assert sum(sizes) == 10000 + 1000 and max(sizes) < 11000 / 2
