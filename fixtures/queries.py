@@ -545,18 +545,12 @@ def presentment_incremental(spark, sf_dir):
     return read_table(spark, target)
 
 
-def _stored_clearing(spark: SparkSession, sf_dir: str, late: Column) -> tuple[str, str]:
-    """Both clearing tables without their late rows: presentments, chargebacks by date."""
-    presented, back = scratch_path(spark, "presented"), scratch_path(spark, "charged-back")
-    sinks.overwrite(presentment(spark, sf_dir).where(~late), presented)
-    sinks.append_partitions(chargeback(spark, sf_dir).where(~late), back, ["transaction_date"])
-    return presented, back
-
-
 @query
 def clearing_stored_by_date(spark, sf_dir):
     """The clearing tables read by path, one of them stored by date."""
-    presented, back = _stored_clearing(spark, sf_dir, F.lit(False))
+    presented, back = scratch_path(spark, "presented"), scratch_path(spark, "charged-back")
+    sinks.overwrite(presentment(spark, sf_dir), presented)
+    sinks.append_partitions(chargeback(spark, sf_dir), back, ["transaction_date"])
     return clearing.clearing_union(
         read_table(spark, presented), read_table(spark, back, text=["transaction_date"])
     )
@@ -566,18 +560,17 @@ def clearing_stored_by_date(spark, sf_dir):
 def report_incremental(spark, sf_dir):
     """A report by month, brought up to date for late presentments and chargebacks."""
     late = F.coalesce(F.substring("transaction_date", 9, 2) > "20", F.lit(False))
-    presented, back = _stored_clearing(spark, sf_dir, late)
+    rows = presentment(spark, sf_dir), chargeback(spark, sf_dir)
+    stored = scratch_path(spark, "presented"), scratch_path(spark, "charged-back")
     tables = _stored_lookups(spark, sf_dir, "issuers", "report_groups", "periods", "wallets")
     target = scratch_path(spark, "report")
-    inputs = {"presented": presented, "charged_back": back, "target": target, **tables}
-
-    def months(*new: DataFrame) -> list[str | None]:
-        return [r[0] for r in report.touched_months(read_table(spark, presented), *new).collect()]
-
-    first = read_table(spark, presented), read_table(spark, back, text=["transaction_date"])
-    jobs.report_job(spark, months=months(*first), **inputs)
-    new = presentment(spark, sf_dir).where(late), chargeback(spark, sf_dir).where(late)
-    sinks.append(new[0], presented)
-    sinks.append_partitions(new[1], back, ["transaction_date"])
-    jobs.report_job(spark, months=months(*new), **inputs)
+    for arrived in (~late, late):
+        new = [frame.where(arrived) for frame in rows]
+        for frame, path in zip(new, stored, strict=True):
+            sinks.append(frame, path)
+        touched = report.touched_months(read_table(spark, stored[0]), *new)
+        jobs.report_job(
+            spark, presented=stored[0], charged_back=stored[1], target=target,
+            months=[r[0] for r in touched.collect()], **tables,
+        )
     return read_table(spark, target, text=["month_of_report"])
