@@ -433,6 +433,8 @@ def repeat_spans(
     mark = F.xxhash64("text") if again else F.lit(0).cast("long")
     rows = plain.select("id", "doc", mark.alias("mark"), "text")
     long_rows = rows.where(F.octet_length("text") >= least).select("doc", "mark", "text")
+    if again:  # equal rows are one text, found once
+        long_rows = long_rows.dropDuplicates(["doc", "mark"])
     anchored = stored(_anchored(long_rows, least), "stretches")
     stretch_rows = anchored.where("gram is not null").drop("start", "end")
     compared = stored(_compared(stretch_rows, least), "compared")

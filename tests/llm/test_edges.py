@@ -136,3 +136,12 @@ def test_hot_gram_goes_by_strings(spark, monkeypatch):
     found = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
     got = {r.doc_id: sum(s.end - s.start for s in r.spans) for r in found.collect()}
     assert got == {i: v[1] for i, v in brute.repeats(rows).items()}
+
+
+def test_equal_rows_do_not_repeat_each_other(spark):
+    """Rows that share id and text, found nowhere else, keep it; later ids lose it."""
+    own, other = LONG[:400], LONG[5000:5400]
+    rows = [(1, own), (1, own), (None, other), (None, other), (2, "x" + own)]
+    found = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((r.doc_id or 0, sum(s.end - s.start for s in r.spans)) for r in found.collect())
+    assert got == [(0, 0), (0, 0), (1, 0), (1, 0), (2, 400)]
