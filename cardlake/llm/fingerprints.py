@@ -1,8 +1,9 @@
-"""SimHash fingerprints of 128 bits, and all fingerprints within a Hamming radius.
+"""SimHash fingerprints of 128 bits, all fingerprints within a Hamming radius, and near copies.
 
 Terms are runs of five words (a shorter text is one term). A term's hash votes on
 every bit as often as the term occurs; a bit is set if more than half of the votes
-are for it. DataFrame functions only.
+are for it. A Jaccard likeness of 0.8 is about 19 differing bits, more than block tables
+can search, so near copies are found by their sets of terms. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -10,12 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardlake.llm.shared import stored
+
 SHINGLE = 5
 BITS = 128
 RADIUS = 3
+#: Percent of Jaccard likeness of near copies.
+PERCENT = 80
+#: Terms that so many asked texts hold are hot, at most so many of them.
+HOT_TEXTS, HOT_TERMS = 16, 4096
 #: Votes are first added eight to a signed long, so at most 127 of them.
 CHUNK = 127
 _LANES = 0x0101010101010101
+#: Texts up to this number are found by a broadcast of their keys; beyond, by a shuffle.
+BROADCAST_TEXTS = 2_000_000
+#: Term hashes of a set have 62 bits; the next one puts hot terms last.
+_RANKED, _LAST = 2**62 - 1, 2**62
 _WHITE = " \t\n\x0b\f\r"
 _LOWEST = -(2**63)
 
@@ -138,6 +149,114 @@ def within_radius(
     )
 
 
+def _terms(words: str) -> Column:
+    """Sorted distinct 62-bit hashes of the terms of a column of words."""
+    places = F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0)))
+    terms = F.transform(
+        places,
+        lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(SHINGLE)]).bitwiseAND(
+            F.lit(_RANKED)
+        ),
+    )
+    return F.sort_array(F.array_distinct(terms))
+
+
+def _words(text: str, name: str) -> Column:
+    return words_of(F.coalesce(text, F.lit(""))).alias(name)
+
+
+def _least(n: Column, percent: int) -> Column:
+    """Smallest whole number of at least ``percent`` of ``n``."""
+    return F.ceil(n * percent / 100).cast("int")
+
+
+def _rarest(texts: DataFrame, hot: list[int], percent: int) -> DataFrame:
+    """Rows (term, key, n) of each set's first terms, hot ones last: alike sets share one."""
+    sets = texts.select("key", _words("text", "__words")).select("key", _terms("__words").alias("terms"))
+    sets = sets.select("key", "terms", F.size("terms").alias("n"))
+    ranked = F.col("terms")
+    if hot:
+        ranked = F.sort_array(
+            F.transform(
+                ranked, lambda h: F.when(h.isin(hot), h.bitwiseOR(F.lit(_LAST))).otherwise(h)
+            )
+        )
+    first = F.slice(ranked, F.lit(1), F.col("n") - _least(F.col("n"), percent) + 1)
+    return sets.select(F.explode(first).alias("term"), "key", "n")
+
+
+def text_key(text: Column) -> Column:
+    """64-bit hash by which ``alike_counts`` knows a text; null is empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def alike_counts(
+    queries: DataFrame, points: DataFrame, percent: int = PERCENT, text_col: str = "text"
+) -> DataFrame:
+    """``key`` of each text of ``queries``, ``n_alike``: rows of ``points`` alike, copies included.
+
+    Alike is a Jaccard likeness of the term sets of ``percent`` or more, decided exactly (up to
+    collisions of 62-bit hashes) whatever the fingerprints say. Two sets so alike share one of
+    their first terms in any common order (prefix filter). Terms that many asked texts hold
+    come last in it, so a passage that a third of all texts hold brings few pairs
+    together. A pair's overlap is at most what its first terms share and all further
+    terms of one set; texts are fetched only where that can be enough.
+    """
+    rows = points.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    asked = queries.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    asked = stored(asked.dropDuplicates(["key"]), "asked")
+    hot = [
+        r[0]
+        for r in asked.select(_words("text", "__words"))
+        .select(F.explode(_terms("__words")).alias("term"))
+        .groupBy("term")
+        .count()
+        .where(F.col("count") >= HOT_TEXTS)
+        .orderBy(F.desc("count"), "term")
+        .limit(HOT_TERMS)
+        .collect()
+    ]
+    left = _rarest(asked, hot, percent).toDF("term", "a", "na")
+    right = _rarest(rows, hot, percent).toDF("term", "b", "nb")
+    further = F.greatest(_least(F.col("na"), percent), _least(F.col("nb"), percent)) - 1
+    pairs = stored(
+        left.join(right, "term")
+        .where(F.col("a") != F.col("b"))
+        .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        .groupBy("a", "b", "na", "nb")
+        .agg(F.count_distinct("term").alias("shared"))
+        .where(
+            (100 + percent) * (F.col("shared") + further) >= percent * (F.col("na") + F.col("nb"))
+        )
+        .select("a", "b"),
+        "alike-pairs",
+    )
+    meeting = stored(pairs.select(F.col("b").alias("key")).distinct(), "alike-meeting")
+    if meeting.count() <= BROADCAST_TEXTS:
+        meeting = F.broadcast(meeting)
+    others = rows.join(meeting, "key", "left_semi").dropDuplicates(["key"])
+    # texts take less room than their terms
+    both = F.size(F.array_intersect("x", "y"))
+    overlaps = (
+        pairs.join(asked.toDF("a", "one"), "a")
+        .join(others.toDF("b", "two"), "b")
+        .select("a", "b", _words("one", "__one"), _words("two", "__two"))
+        .select("a", "b", _terms("__one").alias("x"), _terms("__two").alias("y"))
+        .select("a", "b", (F.size("x") + F.size("y")).alias("sum"), both.alias("both"))
+    )
+    # stored before it is filtered: a filter pushed down would split the texts for every term
+    links = (
+        stored(overlaps, "alike-overlaps")
+        .where(100 * F.col("both") >= percent * (F.col("sum") - F.col("both")))
+        .select("a", "b")
+    )
+    links = stored(links.union(asked.select("key", "key")), "alike-links")
+    held = rows.groupBy(F.col("key").alias("b")).agg(F.count("*").alias("n"))
+    return (
+        links.join(held, "b").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n_alike"))
+    )
+
+
 def in_order(
     docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

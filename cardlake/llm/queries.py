@@ -83,11 +83,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.select(
         "bucket", "place", "guest", F.col("id").alias("doc_id"), "text",
         chars.cast("long").alias("n_chars"), edited.alias("edited"),
-        F.sha2(edited, 256).alias("edited_sha256"),
+        F.sha2(edited, 256).alias("edited_sha256"), fingerprints.text_key(F.col("text")).alias("text_key"),
     )
     own = F.struct(F.lit(False).alias("edit"), F.col("text").alias("body"))
     other = F.struct(F.lit(True).alias("edit"), F.col("edited").alias("body"))
-    carried = ["guest", "doc_id", "n_chars", "edited_sha256"]
+    carried = ["guest", "doc_id", "n_chars", "edited_sha256", "text_key"]
     both = rows.select(
         "bucket", "place", *carried,
         F.explode(F.when(F.col("guest"), F.array(own)).otherwise(F.array(own, other))).alias("x"),
@@ -108,7 +108,9 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("fingerprint").alias("__f"))
         .agg(F.sum("n").alias("__n"))
     )
+    alike = fingerprints.alike_counts(docs.where(F.col("doc_id") % 50 == 0), docs)
     result = found.select(
+        "text_key",
         "doc_id",
         "n_chars",
         "edited_sha256",
@@ -118,9 +120,19 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
     )
     is_query = F.col("doc_id") % 50 == 0
-    return result.join(
+    result = result.join(
         stored(near, "near"), is_query & (F.col("fingerprint") == F.col("__f")), "left"
-    ).select(*result.columns, F.when(is_query, F.col("__n") - 1).alias("n_near"))
+    ).join(
+        stored(alike.withColumnRenamed("key", "__key"), "alike"),
+        is_query & (F.col("text_key") == F.col("__key")),
+        "left",
+    )
+    return result.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next",
+        F.when(is_query, F.col("__n") - 1).alias("n_near"),
+        F.when(is_query, F.col("n_alike") - 1).alias("n_alike"),
+    )
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

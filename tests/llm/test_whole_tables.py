@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from cardlake.llm import fingerprints
 from cardlake.llm.packing import best_fit, cut
 from cardlake.llm.queries import QUERIES
 from tests.llm import brute
@@ -110,6 +111,39 @@ def test_fingerprints(result, table):
     assert np.mean([r.near_edited > r.near_next for r in long]) > 0.9
 
 
+def test_near_copies_against_jaccard(result, table):
+    """All documents of Jaccard 0.8 or more are counted, not only those within 3 bits."""
+    sets = {i: brute.five_word_terms(t) for i, t in table("documents", "doc_id, text")}
+    rows = {r.doc_id: r for r in result("op5_fingerprints")}
+    for i, mine in sets.items():
+        if i % 50:
+            assert rows[i].n_alike is None
+            continue
+        n = sum(100 * len(mine & other) >= 80 * len(mine | other) for other in sets.values()) - 1
+        assert rows[i].n_alike == n
+    assert rows and any(r.n_alike for r in rows.values())
+
+
+def test_near_copies_beyond_the_radius(spark):
+    """Likeness on both sides of 0.8, with a passage that all texts hold."""
+    hot = [f"h{j}" for j in range(60)]
+    docs = [(0, None), (1, " "), (2, "a b"), (3, "a b c")]
+    for k in range(30):
+        words = [f"k{k}w{j}" for j in range(200)]
+        changed = words[: 200 - 12 - k] + [f"x{j}" for j in range(12 + k)]
+        docs += [(10 * k + 10, " ".join(hot + words)), (10 * k + 11, " ".join(hot + changed)),
+                 (10 * k + 12, " ".join(hot + words))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    counts = {r.key: r.n_alike for r in fingerprints.alike_counts(frame, frame).collect()}
+    keys = frame.select("doc_id", fingerprints.text_key(frame["text"]).alias("key")).collect()
+    sets = {i: brute.five_word_terms(t) for i, t in docs}
+    expected = {
+        i: sum(100 * len(a & b) >= 80 * len(a | b) for b in sets.values()) for i, a in sets.items()
+    }
+    assert {r.doc_id: counts[r.key] for r in keys} == expected
+    assert {1, 2, 3} <= set(expected.values())
+
+
 def test_decontamination(result, table):
     expected = brute.contamination(
         table("documents", "doc_id, text"), table("benchmark", "item_id, text")
