@@ -13,10 +13,13 @@ from cardlake.llm import (
     packing,
     quality,
     repeats,
+    resampling,
+    rules,
     secrets,
     similar,
     urlrules,
     warc,
+    whitening,
 )
 from cardlake.llm.shared import shared_path, stored
 
@@ -186,6 +189,37 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    model = whitening.fitted(vectors, "embedding")
+    found = whitening.whitened(vectors.select("vec_id", "embedding"), model, "embedding")
+    explained = F.lit([float(e / model.trace) for e in model.eigenvalues]).cast("array<double>")
+    return found.select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")
+    ).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(_read(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = resampling.weighed(docs, _read(spark, sf_dir, "benchmark")).drop("text")
+    return resampling.drawn(found).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_url_filters": op2_url_filters,
@@ -197,4 +231,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_resampling": op13_resampling,
 }
