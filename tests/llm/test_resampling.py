@@ -59,10 +59,12 @@ def test_pairs_of_the_whole_table(spark, sf_dir, table):
 
 def test_head_is_exact_and_bounded(spark):
     docs = spark.createDataFrame(
-        [("b b b a a " + "w" * 80,), ("a c c",), (None,), ("w" * 80,)] * 3, "text string"
+        [("b b b b a a a " + "w" * 80,), ("a c c d",), (None,), ("w" * 80,)] * 3, "text string"
     ).repartition(5)
-    known = resampling.vocabulary(docs, width=2, head=2)
-    assert set(known.states) == {b"a", b"b"} and len(known.pairs) == 2
+    # b and a occur 12 times each, c 6 times, d 3 times
+    for head, words in ((1, set()), (2, {b"a", b"b"}), (3, {b"a", b"b", b"c"}), (9, {b"a", b"b", b"c", b"d"})):
+        assert set(resampling.vocabulary(docs, head=head).states) == words
+    assert set(resampling.vocabulary(docs, width=2, head=1).pairs) == {b"b b"}
 
 
 def score(doc_id, weight):
