@@ -6,9 +6,13 @@ Parquet reader; none tests a decoded value.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardlake import functions as fn
 from cardlake import schemas as S
 
 
@@ -47,3 +51,42 @@ def stored_fraud_chargebacks(clearing: DataFrame) -> DataFrame:
         & (F.col("fraud_flag") == "Y")
         & (F.col("mdes_flag") == "Y")
     )
+
+
+def _month_ranges(month: str) -> list[tuple[str, str]]:
+    """Half-open ranges of text that hold every spelling of a date in one month.
+
+    A date may be written without leading zeros, without its day, or as a bare year,
+    which is its January, and blanks or control characters may follow. ``:`` is the
+    character after the digits, and those before them include blanks and ``-``.
+    """
+    year, number = month[:4], int(month[4:])
+
+    def upto(prefix: str) -> str:
+        return prefix[:-1] + chr(ord(prefix[-1]) + 1)
+
+    full = f"{year}-{number:02d}"
+    ranges = [(full, upto(full))]
+    if number < 10:
+        short = f"{year}-{number}"
+        ranges += [(short, short + "0"), (short + ":", upto(short))]
+    if number == 1:
+        ranges += [(year, year + "-"), (year + ":", upto(year))]
+    return ranges
+
+
+def in_months(date: Column, months: Sequence[str | None]) -> Column:
+    """Whether the text ``date`` lies in one of the months, ``yyyyMM``.
+
+    Decided by the date itself; ranges of text, which a reader can compare with
+    its statistics or partitions, come first. Texts that do not start with a digit from 1 on
+    are read in any case, as blanks, signs and zeros may precede a year. None stands for
+    text that is no date, which no range tells apart: with it, nothing is ruled out unread.
+    """
+    named = sorted({m for m in months if m is not None})
+    exact = fn.month_bucket(date).isin(named) if named else F.lit(False)
+    if None in months:
+        return exact | fn.month_bucket(date).isNull()
+    ranges = [r for m in named if len(m) == 6 and m.isdigit() for r in _month_ranges(m)]
+    spans = [(date >= low) & (date < high) for low, high in ranges]
+    return reduce(lambda a, b: a | b, [(date < "1") | (date >= ":"), *spans]) & exact

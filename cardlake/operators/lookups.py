@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlake import functions as fn
 from cardlake import schemas as S
-from cardlake.operators.joins import lookup_join
+from cardlake.operators.joins import BROADCAST_LIMIT, lookup_join, surely_within
 
 # Columns that tell clearing rows apart, for spreading a dominant key.
 _FEED_SPREAD = ["l00019", "l00027", "l00328"]
@@ -96,25 +96,59 @@ def with_reporting_issuer(
     return members.drop("_issuer", "group_code")
 
 
-def within_validity(presentments: DataFrame, periods: DataFrame) -> DataFrame:
+def _month_bin(date: Column) -> Column:
+    """Year and month of a stored date; '' for text of another shape."""
+    month = F.substring(date, 1, 7)
+    return F.when(month.rlike(r"^\d{4}-\d{2}$"), month).otherwise("")
+
+
+def in_month_bins(
+    presentments: DataFrame, periods: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Presentments with the month of their date, periods with a row per month they touch.
+
+    The column is ``_bin``. A period has rows for months in which there are presentments
+    only, so one without end has few, and one for dates of odd shape, which are compared
+    with every period of their issuer. A date has one bin, so a pair meets once at most.
+    Text order keeps: a date between two others has its month between theirs.
+    """
+    binned = presentments.withColumn("_bin", _month_bin(F.col("transaction_date")))
+    # at most a million values of this shape, a few hundred in practice
+    months = binned.where("_bin <> ''").agg(F.collect_set("_bin")).scalar()
+    first, last = F.substring("_start", 1, 7), F.substring("_end", 1, 7)
+    touched = F.filter("_months", lambda m: m.between(first, last))
+    rows = (
+        periods.withColumn("_months", months)
+        .withColumn("_bin", F.explode(F.concat(F.array(F.lit("")), touched)))
+        .drop("_months")
+    )
+    return binned, rows
+
+
+def within_validity(
+    presentments: DataFrame, periods: DataFrame, *, limit: int = BROADCAST_LIMIT
+) -> DataFrame:
     """One row per validity period of the issuer that contains the transaction date.
 
     Both ends belong to a period; overlapping periods repeat the row. Dates
     compare as ``yyyy-MM-dd`` text, the way they are stored. The optimizer
-    moves the range test into the join.
+    moves the range test into the join. Periods beyond ``limit`` bytes are not
+    broadcast but joined by issuer and month: the rows of one large issuer
+    spread over the months, and meet only periods of theirs.
     """
     own = periods.select(
         F.col("issuer_code").alias("_issuer"),
         F.col("start_attivation").cast("string").alias("_start"),
         F.col("end_attivation").cast("string").alias("_end"),
     )
-    joined = lookup_join(
-        presentments,
-        F.col("issuer_code"),
-        own,
-        F.col("_issuer"),
-        spread=_STORED_SPREAD,
-    )
+    if surely_within(own, limit):
+        joined = lookup_join(
+            presentments, F.col("issuer_code"), own, F.col("_issuer"), limit=limit
+        )
+    else:
+        binned, rows = in_month_bins(presentments, own)
+        same = (F.col("issuer_code") == F.col("_issuer")) & (binned["_bin"] == rows["_bin"])
+        joined = binned.join(rows, same).drop("_bin")
     inside = F.col("transaction_date").between(F.col("_start"), F.col("_end"))
     return joined.where(inside).drop("_issuer", "_start", "_end")
 

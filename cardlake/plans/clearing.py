@@ -96,11 +96,13 @@ def chargebacks(
     since: str | None = None,
     strip_keys: bool = False,
     salts: int = 1,
+    arn_parts: int = 1,
 ) -> DataFrame:
     """The 34-column chargebacks of a clearing feed.
 
     Token and amount columns come from the presentment in ``clearing`` with
-    the same ARN; ``since`` bounds the presentment dates searched. The merchant
+    the same ARN; ``since`` bounds the presentment dates searched. ``arn_parts`` is the
+    number of parts that ``clearing`` was stored with, see ``matching``. The merchant
     group is looked up by the other circuit's group code here. Look-ups and
     decoding come first: only rows that can appear in the result, at their
     final width, are shuffled for the ARN.
@@ -120,6 +122,7 @@ def chargebacks(
         filters.stored_presentments(clearing, since),
         strip_keys=strip_keys,
         salts=salts,
+        arn_parts=arn_parts,
     )
     return matched.select(*S.CLEARING_COLUMNS)
 

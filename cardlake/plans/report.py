@@ -1,15 +1,18 @@
-"""The monthly fraud report."""
+"""The monthly fraud report, from partial totals that can be stored and added up."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlake import functions as fn
 from cardlake import schemas as S
-from cardlake.operators import aggregates, filters, lookups, matching
+from cardlake.operators import aggregates, filters, keyfilter, lookups, matching
 
-_DAILY = [
+#: What partial totals are grouped by: a report group, and the day.
+TOTAL_KEYS = [
     "transaction_date",
     "issuer_code",
     "bin_code",
@@ -19,10 +22,43 @@ _DAILY = [
     "c_dv_rcnc",
     "p_exp_rcnc",
 ]
-_MONTHLY = ["month_of_report", *_DAILY[1:]]
+TOTAL_COLUMNS = [*TOTAL_KEYS, "n_presented", "fraud_total", "fraud_count"]
+_MONTHLY = ["month_of_report", *TOTAL_KEYS[1:]]
 
 
-def fraud_report(
+def _in_report(
+    presented: DataFrame,
+    issuers: DataFrame,
+    report_groups: DataFrame,
+    periods: DataFrame,
+    wallets: DataFrame,
+    report_id: str,
+    wallet_name: str,
+) -> DataFrame:
+    """Presentments of the report's issuers, periods and wallet."""
+    rows = filters.stored_presentments(presented).select(*S.REPORT_PRESENTMENT_COLUMNS)
+    rows = lookups.with_wallet(rows, wallets, wallet_name)
+    rows = lookups.with_reporting_issuer(rows, issuers, report_groups, report_id)
+    return lookups.within_validity(rows, periods)
+
+
+def _totals(counted: DataFrame, presented: Column) -> DataFrame:
+    """Partial totals of presentments counted with their fraud counts."""
+    hits = F.col("n_presented") * F.col("fraud_count")
+    # No match adds nothing; a match with an unreadable amount is left out of
+    # the sum, and a group of only those has no amount.
+    value = F.when(F.col("fraud_count").isNull(), 0.0).otherwise(
+        hits * aggregates.amount(F.col("v_rcnc"))
+    )
+    return counted.select(
+        *TOTAL_KEYS,
+        presented.alias("n_presented"),
+        value.alias("fraud_total"),
+        F.coalesce(hits, F.lit(0)).alias("fraud_count"),
+    )
+
+
+def fraud_totals(
     presented: DataFrame,
     charged_back: DataFrame,
     issuers: DataFrame,
@@ -32,42 +68,73 @@ def fraud_report(
     *,
     report_id: str = S.REPORT_ID,
     wallet_name: str = S.WALLET_NAME,
-    salts: int = matching.COUNT_SALTS,
+    words: int = keyfilter.WORDS,
 ) -> DataFrame:
-    """Fraud amount and count per month, issuer, BIN, wallet and currency.
-
-    Both message types may also come from one table, given twice. Presentments
-    are cut down to the report's issuers, periods and wallet before they are
-    shuffled, once, to meet the fraud counts. Groups without fraud stay, with
-    count 0.
+    """Partial totals by day and report group; several rows of a group add up.
 
-    Totals are formed per day first and per month after. The daily step keeps
-    only numbers in its buffers, so it hashes; the newest date, a text that
-    would force a sort of its input, is taken from the few daily rows.
+    Presentments are cut down to the report's issuers, periods and wallet first. Those
+    that no fraud chargeback can match are added up before the one shuffle of
+    presentments; see ``matching.count_fraud``.
     """
-    presented = filters.stored_presentments(presented).select(
-        *S.REPORT_PRESENTMENT_COLUMNS
+    rows = _in_report(
+        presented, issuers, report_groups, periods, wallets, report_id, wallet_name
     )
-    presented = lookups.with_wallet(presented, wallets, wallet_name)
-    presented = lookups.with_reporting_issuer(
-        presented, issuers, report_groups, report_id
-    )
-    presented = lookups.within_validity(presented, periods)
     counted = matching.count_fraud(
-        presented, filters.stored_fraud_chargebacks(charged_back), salts=salts
+        rows, filters.stored_fraud_chargebacks(charged_back), TOTAL_KEYS, words=words
     )
-    hits = F.col("fraud_count")
-    # No match adds nothing; a match with an unreadable amount is left out of
-    # the sum, and a group of only those has no amount.
-    value = F.when(hits.isNull(), 0.0).otherwise(
-        hits * aggregates.amount(F.col("v_rcnc"))
+    return _totals(counted, F.col("n_presented"))
+
+
+def late_totals(
+    presented: DataFrame,
+    new_charged_back: DataFrame,
+    issuers: DataFrame,
+    report_groups: DataFrame,
+    periods: DataFrame,
+    wallets: DataFrame,
+    *,
+    report_id: str = S.REPORT_ID,
+    wallet_name: str = S.WALLET_NAME,
+    words: int = keyfilter.WORDS,
+) -> DataFrame:
+    """What new chargebacks add to the totals of presentments that are already in them.
+
+    Of ``presented`` only possible matches leave the scan: the filter comes before the
+    look-ups and the shuffle. They are counted already, so ``n_presented`` is 0.
+    """
+    fraud = filters.stored_fraud_chargebacks(new_charged_back)
+    known = keyfilter.key_filter(fraud, S.MATCH_KEYS, words)
+    old = filters.stored_presentments(presented).select(
+        "message_type_identifier", *S.REPORT_PRESENTMENT_COLUMNS
     )
-    daily = counted.groupBy(*_DAILY).agg(
-        F.sum(value).alias("fraud_total"),
-        F.sum(F.coalesce(hits, F.lit(0))).alias("fraud_count"),
+    old = keyfilter.with_possible(old, known, S.MATCH_KEYS, "_possible", words)
+    rows = _in_report(
+        old.where("_possible"), issuers, report_groups, periods, wallets, report_id, wallet_name
     )
+    counted = (
+        rows.groupBy(*TOTAL_KEYS, *S.MATCH_KEYS)
+        .agg(F.count(F.lit(1)).alias("n_presented"))
+        .join(matching.fraud_counts(fraud), S.MATCH_KEYS)
+    )
+    return _totals(counted, F.lit(0).cast("long"))
+
+
+def merged(totals: DataFrame) -> DataFrame:
+    """One row for each day and group. Merging again, with more totals, changes nothing else."""
+    return totals.groupBy(*TOTAL_KEYS).agg(
+        *[F.sum(c).alias(c) for c in TOTAL_COLUMNS[len(TOTAL_KEYS) :]]
+    )
+
+
+def report_of(totals: DataFrame) -> DataFrame:
+    """The report: totals by month, whose rows may be partial in any way.
+
+    The newest date is a text, whose maximum Spark can only sort for, so totals are
+    added up by day first, which hashes.
+    """
     monthly = (
-        daily.withColumn("month_of_report", fn.month_bucket(F.col("transaction_date")))
+        merged(totals)
+        .withColumn("month_of_report", fn.month_bucket(F.col("transaction_date")))
         .groupBy(*_MONTHLY)
         .agg(
             F.sum("fraud_total").alias("fraud_total"),
@@ -95,6 +162,34 @@ def fraud_report(
     return report.select(*S.REPORT_COLUMNS)
 
 
+def fraud_report(
+    presented: DataFrame,
+    charged_back: DataFrame,
+    issuers: DataFrame,
+    report_groups: DataFrame,
+    periods: DataFrame,
+    wallets: DataFrame,
+    *,
+    report_id: str = S.REPORT_ID,
+    wallet_name: str = S.WALLET_NAME,
+    months: Sequence[str | None] | None = None,
+    words: int = keyfilter.WORDS,
+) -> DataFrame:
+    """Fraud amount and count per month, issuer, BIN, wallet and currency.
+
+    Both message types may also come from one table, given twice. Groups without
+    fraud stay, with count 0. With ``months`` (``yyyyMM``, None for unreadable dates) only
+    presentments of these are read, as far as the table's layout allows.
+    """
+    if months is not None:
+        presented = presented.where(filters.in_months(F.col("transaction_date"), months))
+    totals = fraud_totals(
+        presented, charged_back, issuers, report_groups, periods, wallets,
+        report_id=report_id, wallet_name=wallet_name, words=words,
+    )
+    return report_of(totals)
+
+
 def touched_months(
     presented: DataFrame, new_presented: DataFrame, new_charged_back: DataFrame
 ) -> DataFrame:
@@ -106,9 +201,12 @@ def touched_months(
     dates.
     """
     month = fn.month_bucket(F.col("transaction_date")).alias("month_of_report")
-    keys = filters.stored_fraud_chargebacks(new_charged_back).select(*S.MATCH_KEYS)
-    matched = filters.stored_presentments(presented).join(
-        keys, S.MATCH_KEYS, "left_semi"
+    fraud = filters.stored_fraud_chargebacks(new_charged_back)
+    known = keyfilter.key_filter(fraud, S.MATCH_KEYS)
+    stored = filters.stored_presentments(presented)
+    possible = keyfilter.with_possible(stored, known, S.MATCH_KEYS, "_possible")
+    matched = possible.where("_possible").join(
+        fraud.select(*S.MATCH_KEYS), S.MATCH_KEYS, "left_semi"
     )
     added = filters.stored_presentments(new_presented)
     return added.select(month).union(matched.select(month)).distinct()

@@ -5,7 +5,21 @@ from cardlake.sinks.orc import (
     append_partitions,
     laid_out,
     overwrite,
+    overwrite_bucketed,
+    ranged,
     replace_partitions,
+    replace_whole,
+    write_ranged,
 )
 
-__all__ = ["append", "append_partitions", "laid_out", "overwrite", "replace_partitions"]
+__all__ = [
+    "append",
+    "append_partitions",
+    "laid_out",
+    "overwrite",
+    "overwrite_bucketed",
+    "ranged",
+    "replace_partitions",
+    "replace_whole",
+    "write_ranged",
+]

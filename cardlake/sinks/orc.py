@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from cardlake.sources import table_files
+
+# How a partition of NULLs is named, in the file layout of Hive.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -25,6 +31,32 @@ def laid_out(
     return gathered.sortWithinPartitions(*order) if order else gathered
 
 
+def ranged(
+    frame: DataFrame,
+    partition: Sequence[str] = (),
+    sort: Sequence[str] = (),
+    *,
+    files: int | None = None,
+    spread: Sequence[str | Column] = (),
+) -> DataFrame:
+    """Rows dealt to tasks by ranges of partition and sort columns, sorted in each.
+
+    Files of a partition value then follow each other in ``sort`` order instead of all
+    spanning it, so a reader's statistics skip all but a few. ``spread`` columns come
+    last in the ranges: they cut a value that holds a large share of the rows, whose files
+    then share just that value. ``files`` is the number of ranges, by default that of
+    shuffle partitions, which adaptive execution merges where they are small.
+    """
+    order = [F.col(c) for c in [*partition, *[c for c in sort if c not in partition]]]
+    last = [F.col(c) if isinstance(c, str) else c for c in spread]
+    dealt = (
+        frame.repartitionByRange(*order, *last)
+        if files is None
+        else frame.repartitionByRange(files, *order, *last)
+    )
+    return dealt.sortWithinPartitions(*order, *last)
+
+
 def _save(writer: DataFrameWriter, target: str) -> None:
     if "/" in target:
         writer.save(target)
@@ -60,6 +92,52 @@ def overwrite(frame: DataFrame, target: str, *, sort: Sequence[str] = ()) -> Non
     _save(rows.write.mode("overwrite").format("orc"), target)
 
 
+def write_ranged(
+    frame: DataFrame,
+    target: str,
+    by: Sequence[str],
+    sort: Sequence[str],
+    *,
+    rows_per_file: int | None = None,
+    files: int | None = None,
+    spread: Sequence[str | Column] = (),
+) -> None:
+    """Adds rows to a partitioned table in files that do not overlap in ``sort`` order.
+
+    No file gets more than ``rows_per_file`` rows; see ``ranged`` for the rest. Running
+    it twice adds the rows twice.
+    """
+    rows = ranged(frame, by, sort, files=files, spread=spread)
+    writer = rows.write.mode("append").format("orc").partitionBy(*by)
+    if rows_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    _save(writer, target)
+
+
+def overwrite_bucketed(
+    frame: DataFrame,
+    target: str,
+    by: Sequence[str],
+    buckets: int,
+    *,
+    sort: Sequence[str] = (),
+    path: str | None = None,
+) -> None:
+    """Replaces a whole catalog table stored in buckets of ``by``, sorted in each.
+
+    Joins and aggregates on all of ``by`` then read it without a shuffle; the other side
+    is shuffled into as many buckets. Rows are gathered by bucket first, so there is one
+    file a bucket. ``path`` keeps the files out of the warehouse. Only a
+    catalog knows of buckets, so a path alone cannot be a target.
+    """
+    if "/" in target:
+        raise ValueError(f"buckets need a catalog table, not the path {target}")
+    order = [*by, *[c for c in sort if c not in by]]
+    gathered = frame.repartition(buckets, *by).sortWithinPartitions(*order)
+    writer = gathered.write.mode("overwrite").format("orc").bucketBy(buckets, *by).sortBy(*order)
+    (writer if path is None else writer.option("path", path)).saveAsTable(target)
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession):
     before = spark.conf.get(_OVERWRITE_MODE)
@@ -79,7 +157,10 @@ def replace_partitions(
     catalog table the session's overwrite mode is changed while it writes, as an
     insert takes no mode of its own: overwrite no other table meanwhile.
     """
-    rows = laid_out(frame, by, sort)
+    _write_partitions(laid_out(frame, by, sort), target, by)
+
+
+def _write_partitions(rows: DataFrame, target: str, by: Sequence[str]) -> None:
     if "/" in target:
         (
             rows.write.mode("overwrite")
@@ -89,7 +170,7 @@ def replace_partitions(
             .save(target)
         )
         return
-    spark = frame.sparkSession
+    spark = rows.sparkSession
     if not spark.catalog.tableExists(target):
         _save(rows.write.format("orc").partitionBy(*by), target)
         return
@@ -97,3 +178,64 @@ def replace_partitions(
     columns = spark.table(target).columns
     with _dynamic_overwrite(spark):
         rows.select(*columns).write.insertInto(target, overwrite=True)
+
+
+def _files(spark: SparkSession, target: str, scope: Mapping[str, str]) -> set[str]:
+    """Files of a table, or of the part of it that lies in ``scope``."""
+    if "/" in target:
+        # only that part is listed
+        target = "/".join([target.rstrip("/"), *[f"{n}={v}" for n, v in scope.items()]])
+        scope = {}
+    parts = {f"{name}={value}" for name, value in scope.items()}
+    return {f for f in table_files(spark, target) if parts <= set(f.split("/"))}
+
+
+def _drop_partition(spark: SparkSession, target: str, folder: str, by: Sequence[str]) -> None:
+    if "/" in target:
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        place.getFileSystem(hadoop).delete(place, True)
+        return
+    values = [v.split("=", 1) for v in folder.split("/")[-len(by) :]]
+    spec = ", ".join(
+        f"`{name}` = "
+        # escaped once as a file name, and once more in the URI
+        + ("null" if value == _NO_VALUE else "'" + unquote(unquote(value)).replace("'", "\\'") + "'")
+        for name, value in values
+    )
+    spark.sql(f"alter table {target} drop if exists partition ({spec})")
+
+
+def replace_whole(
+    frame: DataFrame,
+    target: str,
+    by: Sequence[str],
+    *,
+    scope: Mapping[str, str] | None = None,
+    sort: Sequence[str] = (),
+    gather: bool = True,
+) -> None:
+    """Makes ``frame`` all that a partitioned table holds, or all in one part of it.
+
+    ``scope`` names the part by leading partition columns and their values, plain dates or
+    names (letters, digits, ``-`` and ``_``), which are added to the rows. Safe to run again, after success or failure: new partitions are
+    written aside and take the place of the old ones when all tasks are done, so a
+    failed write changes nothing. Partitions in scope that ``frame`` no longer holds
+    are dropped after that; a run that fails in between is mended by the next.
+    """
+    spark, scope = frame.sparkSession, dict(scope or {})
+    for value in scope.values():
+        if not re.fullmatch(r"[\w-]+", value, re.ASCII):
+            raise ValueError(f"not a plain partition value: {value!r}")
+    columns = [*scope, *[c for c in by if c not in scope]]
+    rows = frame.withColumns({name: F.lit(value) for name, value in scope.items()})
+    before = _files(spark, target, scope)
+    if gather:
+        rows = laid_out(rows, columns, sort)
+    _write_partitions(rows, target, columns)
+    # What was there before and still is lies in partitions that were not written.
+    stale = before & _files(spark, target, scope)
+    for folder in sorted({f.rsplit("/", 1)[0] for f in stale}):
+        _drop_partition(spark, target, folder, columns)
+    if "/" not in target:
+        spark.catalog.refreshTable(target)

@@ -1,5 +1,21 @@
 """Reading tables and slices of tables."""
 
-from cardlake.sources.tables import day_slice, read_table, table_exists, ymd_partition
+from cardlake.sources.tables import (
+    day_slice,
+    read_table,
+    run_day,
+    table_exists,
+    table_files,
+    ymd_days,
+    ymd_partition,
+)
 
-__all__ = ["day_slice", "read_table", "table_exists", "ymd_partition"]
+__all__ = [
+    "day_slice",
+    "read_table",
+    "run_day",
+    "table_exists",
+    "table_files",
+    "ymd_days",
+    "ymd_partition",
+]

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardlake.operators.joins import BROADCAST_LIMIT, surely_within
+
 
 def read_table(
     spark: SparkSession,
@@ -43,6 +45,10 @@ def read_table(
     return frame if columns is None else frame.select(*columns)
 
 
+# An empty folder has no files to take a schema from.
+_NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def table_exists(spark: SparkSession, source: str) -> bool:
     """Whether a table, or a path that can be read, is there."""
     if "/" not in source:
@@ -50,17 +56,37 @@ def table_exists(spark: SparkSession, source: str) -> bool:
     try:
         read_table(spark, source)
     except AnalysisException as error:
-        # An empty folder has no files to take a schema from.
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() in _NOTHING_THERE:
             return False
         raise
     return True
 
 
+def table_files(spark: SparkSession, source: str) -> set[str]:
+    """Files of a table or path as they are now; none where nothing is there."""
+    if "/" not in source:
+        if not spark.catalog.tableExists(source):
+            return set()
+        spark.catalog.refreshTable(source)
+    try:
+        return set(read_table(spark, source).inputFiles())
+    except AnalysisException as error:
+        if error.getCondition() in _NOTHING_THERE:
+            return set()
+        raise
+
+
 def yesterday() -> Column:
     return F.date_sub(F.current_date(), 1)
 
 
+def run_day(spark: SparkSession, run_date: str | None = None) -> str:
+    """The day a job runs for, ``yyyy-MM-dd``: the one given, or yesterday."""
+    if run_date is not None:
+        return run_date
+    return spark.range(1).select(F.date_format(yesterday(), "yyyy-MM-dd")).first()[0]
+
+
 def day_slice(frame: DataFrame, column: str, run_date: str | None = None) -> DataFrame:
     """Rows of one day, yesterday by default.
 
@@ -89,3 +115,28 @@ def ymd_partition(
         part = F.date_format(day, pattern).cast(frame.schema[name].dataType)
         kept = kept.where(F.col(name) == part)
     return kept
+
+
+def ymd_days(
+    frame: DataFrame,
+    days: DataFrame,
+    column: str = "day",
+    names: Sequence[str] = ("year", "month", "day"),
+    *,
+    limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """Rows of several days in a table partitioned by year, month and day.
+
+    The days are the dates in ``column`` of ``days``, whatever that holds at run time;
+    NULL and repeated ones add nothing. Broadcast, they choose the partitions before
+    these are listed or read; Spark does so where ``days`` comes through a filter. More
+    than ``limit`` bytes of days are not broadcast.
+    """
+    parts = [
+        F.date_format(F.col(column), pattern).cast(frame.schema[name].dataType).alias(name)
+        for name, pattern in zip(names, ("yyyy", "MM", "dd"), strict=True)
+    ]
+    wanted = days.where(F.col(column).isNotNull()).select(*parts)
+    if surely_within(wanted, limit):
+        wanted = F.broadcast(wanted)
+    return frame.join(wanted, list(names), "left_semi")

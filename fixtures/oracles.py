@@ -12,8 +12,10 @@ from fixtures.queries import (
     ELABORATION_DAY,
     EVENT_DAY,
     MESSAGE_DAY,
+    MONTH_END,
     NEWER_THAN,
     ORDER_DAY,
+    REPORT_MONTHS,
 )
 
 _BIN = "try_cast(substr(rpad(l00019, 19, '0'), 1, 8) as bigint)"
@@ -100,13 +102,6 @@ _CLEARING_CTES = ctes(
     presentments=_PRESENTMENTS, chargebacks=_CHARGEBACKS, clearing=_CLEARING,
 )
 _FEED = ctes("presentment_feed", "chargeback_feed")
-# Several readers of a query's result share it.
-_MATERIALIZED_CTES = _CLEARING_CTES
-for _name in ("presentments", "chargebacks", "clearing"):
-    _MATERIALIZED_CTES = _MATERIALIZED_CTES.replace(
-        f"\n{_name} as (", f"\n{_name} as materialized ("
-    )
-
 
 def _feed(*columns: str) -> str:
     return f"{_FEED} select l00026, l00028, {', '.join(columns)} from presentment_feed"
@@ -121,6 +116,8 @@ _FRAUD_ROWS = (
     "(select * from clearing where message_type_identifier = '1442' "
     "and fraud_flag = 'Y' and mdes_flag = 'Y')"
 )
+_FRAUD_CHARGEBACKS = "(select * from chargebacks where fraud_flag = 'Y' and mdes_flag = 'Y')"
+_OWN_REPORT_COLUMNS = ", ".join(f"fp.{c}" for c in S.REPORT_PRESENTMENT_COLUMNS)
 _PRESENTED_ROWS = "(select * from clearing where message_type_identifier = '1240')"
 
 _REPORT = f"""
@@ -243,6 +240,12 @@ _ORDER_ROWS = (
 _ALL_ORDERS = _ORDER_ROWS.format(status="o_orderstatus")
 _DATE_NUMBER = "cast(strftime(o_orderdate, '%Y%m%d') as integer)"
 
+_ORDERS_BY_DAY = (
+    "select o_orderkey, o_custkey, strftime(day, '%Y') as year, strftime(day, '%m') as month, "
+    "strftime(day, '%d') as day from (select o_orderkey, o_custkey, last_day(o_orderdate) as day "
+    "from orders) o where o.day {}"
+)
+
 ORACLES = {
     "scan_day_slice": "select event_id, user_id, event_type, value from events "
     f"where cast(ts as date) = date '{EVENT_DAY}'",
@@ -250,6 +253,11 @@ ORACLES = {
     "strftime(o_orderdate, '%Y') as year, strftime(o_orderdate, '%m') as month, "
     "strftime(o_orderdate, '%d') as day from orders "
     f"where cast(o_orderdate as date) = date '{ORDER_DAY}'",
+    "ymd_partition_stored": _ORDERS_BY_DAY.format(f"= date '{MONTH_END}'"),
+    "ymd_partition_dynamic": _ORDERS_BY_DAY.format(
+        f"in (select last_day(date '{MONTH_END}' + to_months(cast(7 * r_regionkey as integer))) "
+        "from region where r_name <> 'ASIA')"
+    ),
     "presentment_readback": _clearing(
         f"select {', '.join(S.REPORT_PRESENTMENT_COLUMNS)} from {_PRESENTED_ROWS} p"
     ),
@@ -342,6 +350,11 @@ ORACLES = {
         "join periods v on p.issuer_code = v.issuer_code "
         "and transaction_date between start_attivation and end_attivation"
     ),
+    "validity_binned_join": _clearing(
+        "select arn, p.issuer_code, transaction_date from presentments p "
+        "join periods v on p.issuer_code = v.issuer_code "
+        "and transaction_date between start_attivation and end_attivation"
+    ),
     "presentment": _clearing(f"select {_LAYOUT} from presentments"),
     "chargeback": _clearing(f"select {_LAYOUT} from chargebacks"),
     "chargeback_stripped": _clearing(f"select {_LAYOUT} from chargebacks").replace(
@@ -350,12 +363,19 @@ ORACLES = {
     "clearing_union": _clearing("select * from clearing"),
     "clearing_stored_by_date": _clearing("select * from clearing"),
     "presentment_incremental": _clearing(f"select {_LAYOUT} from presentments"),
-    "presentment_chargeback_left": f"{_MATERIALIZED_CTES} "
-    + (
-        f"select {', '.join('fp.' + c for c in S.REPORT_PRESENTMENT_COLUMNS)}, "
-        "cb.reason_code as cb_reason_code, "
+    "presentment_chargeback_left": _clearing(
+        f"select {_OWN_REPORT_COLUMNS}, cb.reason_code as cb_reason_code, "
         "cb.clearing_file_name as cb_clearing_file_name "
-        f"from {_PRESENTED_ROWS} fp left join {_FRAUD_ROWS} cb on {_SAME_TRANSACTION}"
+        f"from presentments fp left join {_FRAUD_CHARGEBACKS} cb on {_SAME_TRANSACTION}"
+    ),
+    "presentment_chargeback_counted": _clearing(
+        f"select {_OWN_REPORT_COLUMNS}, cb.reason_code as cb_reason_code, "
+        "cb.clearing_file_name as cb_clearing_file_name, "
+        "cast(sum(fp.n * coalesce(cb.n, 1)) as bigint) as n_pairs "
+        f"from (select {', '.join(S.REPORT_PRESENTMENT_COLUMNS)}, count(*) as n "
+        "from presentments group by all) fp left join "
+        f"(select {', '.join(S.MATCH_KEYS)}, reason_code, clearing_file_name, count(*) as n "
+        f"from {_FRAUD_CHARGEBACKS} group by all) cb on {_SAME_TRANSACTION} group by all"
     ),
     "scaled_amount_sum": f"{_FEED} select l00004 as issuer_code, l00034 as currency, "
     "sum(coalesce(try_cast(l00033 as double), 0)) "
@@ -363,6 +383,14 @@ ORACLES = {
     "from presentment_feed group by l00004, l00034",
     "fraud_report": _clearing(_DATED_REPORT),
     "report_incremental": _clearing(_DATED_REPORT),
+    "report_merged": _clearing(_DATED_REPORT),
+    "report_months": _clearing(
+        f"{_DATED_REPORT} where month_of_report in ("
+        + ", ".join(f"'{m}'" for m in REPORT_MONTHS)
+        + ")"
+    ),
+    "chargeback_colocated": _clearing(f"select {_LAYOUT} from chargebacks"),
+    "presentment_loads": _clearing(f"select {_LAYOUT} from presentments"),
     "high_water_mark": f"select o_orderkey, {_ORDER_DATE} as transaction_date, "
     f"{_DATE_NUMBER} as date_number from orders where {_DATE_NUMBER} > "
     f"(select coalesce(max({_DATE_NUMBER}), 0) from orders "
@@ -375,6 +403,11 @@ ORACLES = {
     + _ORDER_ROWS.format(status="'X'")
     + f" where o_orderpriority <> '5-LOW' and year(o_orderdate) = {MESSAGE_DAY[:4]}",
     "sink_sorted_layout": _ALL_ORDERS,
+    "sink_replace_whole": f"{_ALL_ORDERS} where o_orderpriority <> '5-LOW' "
+    "and month(o_orderdate) <> 2",
+    "sink_range_files": "select order_month, cast(count(*) as bigint) as n_rows, "
+    "cast(0 as bigint) as n_overlapping, cast(0 as bigint) as n_over "
+    f"from ({_ALL_ORDERS}) o group by 1",
     "sink_sorted_files": "select order_month, count(*) as n_rows, "
     f"cast(0 as bigint) as n_unsorted from ({_ALL_ORDERS}) o group by 1",
     "json_event_fields": "select event_id, json_extract_string(props, '$.k') as k, "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from cardlake import schemas as S
 from cardlake import sinks
 from cardlake.operators import aggregates, filters, incremental, lookups, matching
 from cardlake.plans import authorization, clearing, jobs, report
-from cardlake.sources import day_slice, read_table, ymd_partition
+from cardlake.sources import day_slice, read_table, ymd_days, ymd_partition
 from fixtures.adapters import MESSAGES, view
 from fixtures.scratch import scratch_path
 
@@ -21,8 +22,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 MESSAGE_DAY = "1997-01-01"
 EVENT_DAY = "2024-01-10"
 ORDER_DAY = "1995-06-19"
+MONTH_END = "1995-01-31"
+REPORT_MONTHS = ["199703", "199801", "199802"]
 ELABORATION_DAY = "2024-02-29"
 NEWER_THAN = "1998-01-01"
+ROWS_PER_FILE = 50
+LOADS = ["2024-01-01", "2024-01-02"]
 
 QUERIES: dict[str, Query] = {}
 
@@ -72,6 +77,31 @@ def ymd_partition_filter(spark, sf_dir):
     return ymd_partition(dated, ORDER_DAY)
 
 
+def _orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stored by year, month and day, each under the last day of its month."""
+    day, path = F.last_day("o_orderdate"), scratch_path(spark, "orders")
+    parts = {"year": "yyyy", "month": "MM", "day": "dd"}
+    dated = orders(spark, sf_dir).select(
+        "o_orderkey", "o_custkey", *[F.date_format(day, f).alias(n) for n, f in parts.items()]
+    )
+    sinks.append_partitions(dated, path, list(parts))
+    return read_table(spark, path, text=list(parts))
+
+
+@query
+def ymd_partition_stored(spark, sf_dir):
+    return ymd_partition(_orders_by_day(spark, sf_dir), MONTH_END)
+
+
+@query
+def ymd_partition_dynamic(spark, sf_dir):
+    """Days that another table names when the query runs."""
+    region = spark.read.parquet(f"{sf_dir}/region.parquet").where("r_name <> 'ASIA'")
+    months = (F.col("r_regionkey") * 7).cast("int")
+    days = region.select(F.last_day(F.add_months(F.lit(MONTH_END).cast("date"), months)).alias("day"))
+    return ymd_days(_orders_by_day(spark, sf_dir), days)
+
+
 @query
 def presentment_readback(spark, sf_dir):
     stored = filters.stored_presentments(clearing_union(spark, sf_dir))
@@ -339,6 +369,15 @@ def validity_interval_join(spark, sf_dir):
     return joined.select("arn", "issuer_code", "transaction_date")
 
 
+@query
+def validity_binned_join(spark, sf_dir):
+    """The same as if the periods were too many to broadcast."""
+    joined = lookups.within_validity(
+        presentment(spark, sf_dir), view(spark, sf_dir, "periods"), limit=0
+    )
+    return joined.select("arn", "issuer_code", "transaction_date")
+
+
 # -------------------------------------------------------------------- jobs
 
 
@@ -392,6 +431,17 @@ def presentment_chargeback_left(spark, sf_dir):
     )
 
 
+@query
+def presentment_chargeback_counted(spark, sf_dir):
+    """The same pairs, each once, with the number of times it occurs."""
+    return matching.counted_pairs(
+        presentment(spark, sf_dir),
+        filters.stored_fraud_chargebacks(chargeback(spark, sf_dir)),
+        S.REPORT_PRESENTMENT_COLUMNS,
+        ["reason_code", "clearing_file_name"],
+    )
+
+
 @query
 def scaled_amount_sum(spark, sf_dir):
     value = F.coalesce(aggregates.amount(F.col("l00033")), F.lit(0.0))
@@ -525,10 +575,9 @@ def _stored_lookups(spark: SparkSession, sf_dir: str, *names: str) -> dict[str,
     return paths
 
 
-@query
-def presentment_incremental(spark, sf_dir):
-    """Presentments loaded day of import by day of import; rows come late in the second."""
-    feed, target = scratch_path(spark, "feed"), scratch_path(spark, "presented")
+def _feed_by_day(spark: SparkSession, sf_dir: str) -> str:
+    """The presentment feed stored by day of import; rows come late in the second."""
+    feed = scratch_path(spark, "feed")
     load_day = F.when(F.col("day") == S.HEADER_DAY, F.col("day")).otherwise(
         F.when(F.col("l00032") < "0700", "02").otherwise("01")
     )
@@ -536,15 +585,36 @@ def presentment_incremental(spark, sf_dir):
     # a row without a day is no presentment, so its place must not give it one
     rows = view(spark, sf_dir, "presentment_feed").where("day is not null").withColumns(parts)
     sinks.append_partitions(rows, feed, list(parts))
+    return feed
+
+
+@query
+def presentment_incremental(spark, sf_dir):
+    """Presentments loaded day of import by day of import."""
+    feed, target = _feed_by_day(spark, sf_dir), scratch_path(spark, "presented")
     tables = _stored_lookups(spark, sf_dir, "issuers", "bins", "categories", "merchant_groups")
     tables["groups"] = tables.pop("merchant_groups")
-    for run_date in ("2024-01-01", "2024-01-02"):
+    for run_date in LOADS:
         jobs.presentment_job(
             spark, feed=feed, target=target, daily=True, run_date=run_date, **tables
         )
     return read_table(spark, target)
 
 
+@query
+def presentment_loads(spark, sf_dir):
+    """The same by load day, each of them loaded twice."""
+    feed, target = _feed_by_day(spark, sf_dir), scratch_path(spark, "presented")
+    tables = _stored_lookups(spark, sf_dir, "issuers", "bins", "categories", "merchant_groups")
+    tables["groups"] = tables.pop("merchant_groups")
+    for run_date in (*LOADS, *LOADS):
+        jobs.presentment_job(
+            spark, feed=feed, target=target, daily=True, run_date=run_date,
+            load_column="load_date", **tables,
+        )
+    return read_table(spark, target, S.CLEARING_COLUMNS)
+
+
 @query
 def clearing_stored_by_date(spark, sf_dir):
     """The clearing tables read by path, one of them stored by date."""
@@ -574,3 +644,107 @@ def report_incremental(spark, sf_dir):
             months=[r[0] for r in touched.collect()], **tables,
         )
     return read_table(spark, target, text=["month_of_report"])
+
+
+@query
+def report_months(spark, sf_dir):
+    """Some months of the report, from presentments stored in the order of their dates."""
+    stored = scratch_path(spark, "presented")
+    rows = sinks.ranged(presentment(spark, sf_dir), sort=["transaction_date"], spread=["arn"])
+    sinks.overwrite(rows, stored)
+    return report.fraud_report(
+        read_table(spark, stored, text=["transaction_date"]),
+        chargeback(spark, sf_dir),
+        view(spark, sf_dir, "issuers"),
+        view(spark, sf_dir, "report_groups"),
+        view(spark, sf_dir, "periods"),
+        view(spark, sf_dir, "wallets"),
+        months=REPORT_MONTHS,
+    )
+
+
+@query
+def report_merged(spark, sf_dir):
+    """The report from stored totals, to which each of two loads adds what it changes.
+
+    Presentments arrive late in the month, and chargebacks of some others too; the second
+    load runs twice.
+    """
+    late = F.coalesce(F.substring("transaction_date", 9, 2) > "20", F.lit(False))
+    later = F.coalesce(late | (F.substring("issuer_code", -1, 1) > "6"), F.lit(False))
+    presented, back = scratch_path(spark, "presented"), scratch_path(spark, "charged-back")
+    for frame, path, second in (
+        (presentment(spark, sf_dir), presented, late),
+        (chargeback(spark, sf_dir), back, later),
+    ):
+        load = F.when(second, LOADS[1]).otherwise(LOADS[0])
+        sinks.append_partitions(frame.withColumn("load_date", load), path, ["load_date"])
+    tables = _stored_lookups(spark, sf_dir, "issuers", "report_groups", "periods", "wallets")
+    totals, target = scratch_path(spark, "totals"), scratch_path(spark, "report")
+    for run_date in (*LOADS, LOADS[1]):
+        jobs.totals_job(
+            spark, presented=presented, charged_back=back, target=totals,
+            run_date=run_date, load_column="load_date", **tables,
+        )
+    jobs.merged_report_job(spark, totals=totals, target=target)
+    return read_table(spark, target)
+
+
+@query
+def sink_replace_whole(spark, sf_dir):
+    """A table written again without some of its months, among them that of no month."""
+    rows, path = order_rows(spark, sf_dir), scratch_path(spark, "whole")
+    sinks.replace_whole(rows, path, ["order_month"])
+    left = rows.where(F.substring("order_month", 6, 2) != "02")
+    for _ in range(2):
+        sinks.replace_whole(left, path, ["order_month"])
+    return _written(spark, path)
+
+
+@query
+def sink_range_files(spark, sf_dir):
+    """Per month, rows, and files that overlap another or are over their bound."""
+    rows, path = order_rows(spark, sf_dir), scratch_path(spark, "ranges")
+    sinks.write_ranged(
+        rows, path, ["order_month"], ["order_date"], rows_per_file=ROWS_PER_FILE,
+        files=4, spread=["o_orderkey"],
+    )
+    files = (
+        _written(spark, path)
+        .groupBy("order_month", F.col("_metadata.file_path").alias("file"))
+        .agg(
+            F.count("*").alias("n"),
+            F.min("order_date").alias("low"),
+            F.max("order_date").alias("high"),
+        )
+    )
+    before = F.max("high").over(
+        Window.partitionBy("order_month").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        files.withColumn("overlap", F.when(F.col("low") < before, 1).otherwise(0))
+        .groupBy("order_month")
+        .agg(
+            F.sum("n").alias("n_rows"),
+            F.sum("overlap").alias("n_overlapping"),
+            F.sum(F.when(F.col("n") > ROWS_PER_FILE, 1).otherwise(0)).alias("n_over"),
+        )
+    )
+
+
+@query
+def chargeback_colocated(spark, sf_dir):
+    """Chargebacks matched to presentments stored in buckets, an ARN in four of them."""
+    table = f"presented_{uuid4().hex}"
+    parts = matching.with_arn_part(presentment(spark, sf_dir), 4)
+    sinks.overwrite_bucketed(
+        parts, table, ["arn", matching.ARN_PART], 8, path=scratch_path(spark, "buckets")
+    )
+    return clearing.chargebacks(
+        view(spark, sf_dir, "chargeback_feed"),
+        read_table(spark, table),
+        view(spark, sf_dir, "bins"),
+        view(spark, sf_dir, "categories"),
+        view(spark, sf_dir, "merchant_groups"),
+        arn_parts=4,
+    )

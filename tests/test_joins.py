@@ -8,9 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardlake import schemas as S
-from cardlake.operators import joins, matching
+from cardlake.operators import joins, keyfilter, lookups, matching
+from cardlake.plans import fraud_report
+from fixtures.adapters import view
+from fixtures.queries import QUERIES
 from tests.compare import spark_rows
-from tests.test_clearing import charged_back, presented, report
+from tests.test_clearing import charged_back, presented
 
 
 def skewed(spark, rows=3000):
@@ -98,26 +101,108 @@ def test_salts_change_no_result(spark):
     assert spark_rows(plain) == spark_rows(salted)
     assert plain.count() == 12 * 3 + 1
 
-    clearing = original.unionByName(plain)
-    assert spark_rows(report(spark, clearing)) == spark_rows(
-        report(spark, clearing, salts=4)
-    )
-    assert spark_rows(report(spark, clearing)) == spark_rows(
-        report(spark, clearing, salts=1)
-    )
+    # So do presentments stored in parts, which chargebacks are copied to.
+    parts = matching.with_arn_part(original, 5)
+    assert parts.select("arn_part").distinct().count() > 1
+    assert spark_rows(charged_back(spark, parts, *back, arn_parts=5)) == spark_rows(plain)
 
 
 def test_copies_are_counted_not_paired(spark):
-    """n copies of a presentment meet m copies of a chargeback in n rows, not n*m."""
+    """n copies of a presentment meet m copies of a chargeback in one row, not n*m."""
     keys = [("p", "a", "t", "100")]
     copies = spark.createDataFrame(keys * 50, S.strings(*S.MATCH_KEYS))
-    others = ("transaction_date", "issuer_code", "bin_code")
-    fp = copies.withColumns({c: F.lit("x") for c in others})
-    counted = matching.count_fraud(fp, copies)
-    assert counted.count() == 50
-    assert {r.fraud_count for r in counted.collect()} == {50}
+    fp = copies.withColumn("transaction_date", F.lit("x"))
+    (counted,) = matching.count_fraud(fp, copies, ["transaction_date"]).collect()
+    assert (counted.n_presented, counted.fraud_count) == (50, 50)
     pairs = matching.match_fraud(fp, copies)
     assert pairs.count() == 2500
+    (pair,) = matching.counted_pairs(fp, copies, ["transaction_date"], ["arn"]).collect()
+    assert tuple(pair) == ("x", "a", 2500)
+
+
+def keyed(spark, *rows):
+    return spark.createDataFrame(list(rows), S.strings(*S.MATCH_KEYS))
+
+
+@pytest.mark.parametrize("words", [1, 16, keyfilter.WORDS])
+def test_key_filter_lets_every_key_pass(spark, words):
+    """However full it is; a filter of one word is full, the largest one is not."""
+    rows = [(f"p{i}", "a", None if i % 7 == 0 else "t", "1") for i in range(500)]
+    some = [r for i, r in enumerate(rows) if i % 5 == 0]
+    known = keyfilter.key_filter(keyed(spark, *some), S.MATCH_KEYS, words)
+    assert known.count() <= words
+    marked = keyfilter.with_possible(keyed(spark, *rows), known, S.MATCH_KEYS, "may", words)
+    found = {r.funding_pan: r.may for r in marked.collect()}
+    assert len(found) == 500
+    matching_keys = {r[0] for r in some if r[2]}
+    passed = {p for p, may in found.items() if may}
+    assert matching_keys <= passed and not passed & {r[0] for r in rows if not r[2]}
+    assert (passed == matching_keys) == (words == keyfilter.WORDS)
+
+
+def test_key_filter_of_nothing(spark):
+    known = keyfilter.key_filter(keyed(spark), S.MATCH_KEYS)
+    marked = keyfilter.with_possible(keyed(spark, ("p", "a", "t", "1")), known, S.MATCH_KEYS, "may")
+    assert [r.may for r in marked.collect()] == [False]
+    with pytest.raises(ValueError, match="power of two"):
+        keyfilter.key_filter(keyed(spark), S.MATCH_KEYS, 1000)
+
+
+@pytest.mark.parametrize("words", [1, 64])
+def test_a_full_filter_changes_no_report(spark, sf_dir, words):
+    clearing = QUERIES["clearing_union"](spark, sf_dir)
+    tables = [view(spark, sf_dir, n) for n in ("issuers", "report_groups", "periods", "wallets")]
+    assert spark_rows(fraud_report(clearing, clearing, *tables, words=words)) == spark_rows(
+        fraud_report(clearing, clearing, *tables)
+    )
+
+
+PERIODS = [
+    ("hot", "2020-01-15", "2020-03-10"), ("hot", "2020-03-10", "2020-03-10"),
+    ("hot", "2020-02-01", "9999-12-31"), ("hot", "0001-01-01", "2020-01-20"),
+    ("hot", "2020-05", "2020-13-99"), ("hot", "2020-04-01", None), ("hot", None, "2020-04-01"),
+    ("hot", "2020-06-30", "2020-06-01"), ("cold", "", "~"), ("none", "2020-01-01", "2020-12-31"),
+    ("hot", "2020-01-15", "2020-03-10"),
+]
+DATES = [
+    "2020-01-15", "2020-01-14", "2020-03-10", "2020-03-11", "2020-02", "2020-2-3", "", "x",
+    "2020-13-32", "2020-05-01", "2020-06-15", "9999-12-31", "0001-01-01", " 2020-03-01", None,
+    "2020-03-10 ", "２０２０-01-01",
+]
+
+
+def test_month_bins_equal_the_plain_join(spark):
+    rows = [(f"{i}-{d}", i, d) for i in ("hot", "cold", "other") for d in DATES] * 2
+    fp = spark.createDataFrame(rows, "arn string, issuer_code string, transaction_date string")
+    own = "issuer_code string, start_attivation string, end_attivation string"
+    periods = spark.createDataFrame(PERIODS, own)
+    expected = Counter(
+        (arn, issuer, date)
+        for arn, issuer, date in rows
+        for who, start, end in PERIODS
+        if issuer == who and None not in (date, start, end) and start <= date <= end
+    )
+    for limit in (0, 2**62):
+        found = lookups.within_validity(fp, periods, limit=limit)
+        assert Counter(map(tuple, found.collect())) == expected
+
+
+def test_month_bins_keep_a_hot_issuer_from_all_its_periods(spark):
+    """Two years of rows and 24 periods of a month each: a row meets one, not 24."""
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 720).cast("int"))
+    fp = spark.range(7200).select(
+        F.lit("hot").alias("issuer_code"), day.cast("string").alias("transaction_date")
+    )
+    month = F.add_months(F.lit("2020-01-01").cast("date"), F.col("id").cast("int"))
+    own = spark.range(24).select(
+        F.lit("hot").alias("_issuer"), month.cast("string").alias("_start"),
+        F.last_day(month).cast("string").alias("_end"),
+    )
+    binned, rows = lookups.in_month_bins(fp, own)
+    assert binned.join(rows, "_bin").count() == 7200
+    assert binned.select("_bin").distinct().count() == 24
+    periods = own.selectExpr("_issuer issuer_code", "_start start_attivation", "_end end_attivation")
+    assert lookups.within_validity(fp, periods, limit=0).count() == 7200
 
 
 def test_stale_statistics_force_no_broadcast(spark):

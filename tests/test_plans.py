@@ -9,11 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardlake import schemas as S
+from cardlake import sinks
 from cardlake.operators import filters, joins, lookups, matching
-from cardlake.plans import authorization_trace, fraud_report, presentments
-from cardlake.sources import day_slice
+from cardlake.plans import authorization_trace, chargebacks, fraud_report, presentments
+from cardlake.sources import day_slice, read_table
 from fixtures.adapters import MESSAGES, view
 from fixtures.queries import QUERIES
+from tests.compare import spark_rows
 
 
 def physical(frame) -> str:
@@ -33,7 +35,7 @@ def stored(spark, sf_dir, tmp_path_factory):
     return lambda name: spark.read.orc(str(base / name))
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not re.search("sink|stored|incremental", n)))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not re.search("sink|stored|incremental|loads|merged|colocated|dynamic|months", n)))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     plan = physical(QUERIES[name](spark, sf_dir))
     for operator in ("EvalPython", "MapInPandas", "CartesianProduct", "NestedLoop"):
@@ -78,13 +80,40 @@ def test_only_used_columns_are_read(spark, sf_dir, stored):
     assert "ReadSchema: struct<l00019:string>" in physical(typed)
 
 
-def test_report_shuffles_presentments_once(spark, sf_dir):
-    plan = physical(QUERIES["fraud_report"](spark, sf_dir))
-    # The join with fraud counts, its two sides, and the two small totals.
-    assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") <= 2
-    top, daily = plan.split("SortMergeJoin", 1)[0], plan.count("SortAggregate")
-    assert top.count("Exchange hashpartitioning") == 2
-    assert daily == 2
+def shuffled_rows(frame) -> dict[str, int]:
+    """Rows written by each distinct shuffle of a frame that has run, by its keys."""
+    found, todo = {}, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif name == "ShuffleExchangeExec":
+            keys = node.outputPartitioning().toString()
+            found[re.sub(r"#\d+L?", "", keys)] = node.metrics().apply("shuffleRecordsWritten").value()
+        if name != "ReusedExchangeExec":
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_only_possible_matches_are_shuffled(spark):
+    """Of 20,000 presentments 40 match; the others leave their tasks as one row each day."""
+    day = (F.col("id") % 10 + 10).cast("string")
+    presented = spark.range(0, 20_000, numPartitions=4).select(
+        *[F.concat(F.lit(k), F.col("id")).alias(k) for k in S.MATCH_KEYS],
+        F.concat(F.lit("2024-01-"), day).alias("transaction_date"),
+    )
+    back = presented.where("substr(arn, 4) % 500 = 0").select(*S.MATCH_KEYS)
+    counted = matching.count_fraud(presented, back, ["transaction_date"])
+    rows = counted.collect()
+    assert sum(r.n_presented for r in rows) == 20_000
+    assert sum(r.fraud_count or 0 for r in rows) == 40
+    shuffles = shuffled_rows(counted)
+    assert sum(n for keys, n in shuffles.items() if "transaction_date" in keys) == 4 * 10 + 40
+    assert max(shuffles.values()) <= 80
 
 
 def test_report_reads_each_stored_table_once(spark, sf_dir, tmp_path):
@@ -95,7 +124,9 @@ def test_report_reads_each_stored_table_once(spark, sf_dir, tmp_path):
     frame = fraud_report(
         *[spark.read.orc(p) for p in paths], *[view(spark, sf_dir, n) for n in names]
     )
-    plan = physical(frame)
+    frame.collect()
+    # Both branches of the plan use what one scan of each table shuffled.
+    plan = physical(frame).split("Initial Plan")[0]
     for path in paths:
         assert len(re.findall(rf"InMemoryFileIndex[^\n]*{path}", plan)) == 1
 
@@ -130,20 +161,94 @@ def rows_of_tasks(frame) -> list[int]:
     return [r[1] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
 
 
-def test_report_spreads_a_hot_key_by_default(spark, splitting):
+def test_report_shrinks_a_hot_key_by_itself(spark, splitting):
+    """Half of the presentments share a key: they are a row per task and day when shuffled."""
     day = (F.col("id") % 28 + 1).cast("string")
     presented = half_hot(spark).select(
         *[F.col("key").alias(k) for k in S.MATCH_KEYS],
         F.concat(F.lit("2024-01-"), F.lpad(day, 2, "0")).alias("transaction_date"),
-        F.lit("i").alias("issuer_code"),
-        F.lit("b").alias("bin_code"),
     )
     back = half_hot(spark, 2000).select(*[F.col("key").alias(k) for k in S.MATCH_KEYS])
-    counted = matching.count_fraud(presented, back)
-    sizes = rows_of_tasks(counted)
-    assert sum(sizes) == 20000 and max(sizes) < 20000 / 5
-    hot = counted.where("arn = 'hot'").groupBy("fraud_count").count().collect()
-    assert [tuple(r) for r in hot] == [(1000, 10000)]
+    counted = matching.count_fraud(presented, back, ["transaction_date"])
+    hot = counted.where("arn = 'hot'")
+    assert hot.count() == 14
+    totals = hot.selectExpr("sum(n_presented)", "max(fraud_count)", "min(fraud_count)").first()
+    assert tuple(totals) == (10000, 1000, 1000)
+    counted.collect()
+    assert sum(shuffled_rows(counted).values()) < 20000
+
+
+def test_stored_months_are_read_alone(spark, sf_dir, tmp_path):
+    """Bounds of a month reach the partitions, or the reader's statistics."""
+    rows = QUERIES["presentment"](spark, sf_dir).where("transaction_date is not null")
+    months = spark.createDataFrame([("1997-03-05",), ("1997-13-32",), ("1997-04-01",)], "d string")
+    parts, order = str(tmp_path / "parts"), str(tmp_path / "order")
+    months.withColumn("n", F.lit(1)).write.partitionBy("d").orc(parts)
+    sinks.overwrite(sinks.ranged(rows, sort=["transaction_date"], files=6), order)
+    by_part = read_table(spark, parts, text=["d"]).where(filters.in_months(F.col("d"), ["199703"]))
+    assert [r.d for r in by_part.collect()] == ["1997-03-05"]
+    plan = physical(by_part)
+    assert "d#" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "1997-03" in plan.split("PartitionFilters: [")[1]
+    stored = read_table(spark, order)
+    kept = stored.where(filters.in_months(F.col("transaction_date"), ["199703", "199811"]))
+    pushed = physical(kept).split("PushedFilters: [")[1]
+    assert "GreaterThanOrEqual(transaction_date,1997-03)" in pushed
+    assert "LessThan(transaction_date,1998-12)" in pushed
+    files = stored.select("_metadata.file_name").distinct().count()
+    touched = kept.select("_metadata.file_name").distinct().count()
+    assert files > touched >= 1
+
+
+def test_bucketed_presentments_stay_where_they_are(spark, sf_dir, splitting):
+    for parts in (1, 3):
+        table = f"buckets_{parts}"
+        rows, by = QUERIES["presentment"](spark, sf_dir), ["arn"]
+        if parts > 1:
+            rows, by = matching.with_arn_part(rows, parts), ["arn", matching.ARN_PART]
+        sinks.overwrite_bucketed(rows, table, by, 4)
+        try:
+            names = ("bins", "categories", "merchant_groups")
+            frame = chargebacks(
+                view(spark, sf_dir, "chargeback_feed"), spark.table(table),
+                *[view(spark, sf_dir, n) for n in names], arn_parts=parts,
+            )
+            assert spark_rows(frame) == spark_rows(QUERIES["chargeback"](spark, sf_dir))
+            plan = physical(frame).split("Initial Plan")[0]
+            (join,) = re.findall(r"SortMergeJoin \[_raw_arn[^\n]*", plan)
+            above = plan[: plan.index("FileScan orc")]
+            # from the join down to the presentments there is no shuffle
+            assert "Exchange" not in above[above.rindex("SortMergeJoin [_raw_arn") :]
+            assert "SelectedBucketsCount" in plan
+        finally:
+            spark.sql(f"drop table {table}")
+
+
+def test_hot_arn_is_spread_over_buckets(spark):
+    """Half of the presentments share an ARN; stored in parts, no file holds nearly all."""
+    rows = half_hot(spark).select(
+        F.col("key").alias("arn"), F.col("id").cast("string").alias("trace_id"),
+        F.lit("d").alias("dpan"), F.lit("1").alias("v_rcnc"),
+    )
+    sinks.overwrite_bucketed(
+        matching.with_arn_part(rows, 16), "hot_arns", ["arn", matching.ARN_PART], 16
+    )
+    try:
+        stored = spark.table("hot_arns")
+        sizes = [r[1] for r in stored.where("arn = 'hot'").groupBy("_metadata.file_name").count().collect()]
+        assert sum(sizes) == 10_000 and max(sizes) < 5_000 and len(sizes) > 4
+    finally:
+        spark.sql("drop table hot_arns")
+
+
+def test_days_of_another_table_choose_partitions(spark, sf_dir):
+    for name in ("ymd_partition_stored", "ymd_partition_dynamic"):
+        frame = QUERIES[name](spark, sf_dir)
+        frame.collect()
+        plan = physical(frame).split("Initial Plan")[0]
+        chosen = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+        assert all(re.search(rf"\b{c}#", chosen) for c in ("year", "month", "day"))
+        assert ("dynamicpruning" in chosen) == (name == "ymd_partition_dynamic")
 
 
 def test_large_lookup_has_a_hot_key_split_at_run_time(spark, splitting):

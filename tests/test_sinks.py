@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from cardlake import schemas as S
 from cardlake import sinks
-from cardlake.operators import incremental
+from cardlake.operators import filters, incremental
 from cardlake.plans import jobs
-from cardlake.sources import day_slice, read_table, table_exists, ymd_partition
+from cardlake.sources import day_slice, read_table, table_exists, ymd_days, ymd_partition
 from fixtures.adapters import MESSAGES, view
 from fixtures.queries import ELABORATION_DAY, MESSAGE_DAY, QUERIES
 from tests.compare import spark_rows
@@ -59,6 +59,82 @@ def test_replace_keeps_other_partitions(spark, rows, target):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
 
 
+ODD = "x y/z='1'%"
+
+
+def test_replace_whole_leaves_nothing_behind(spark, rows, target):
+    more = rows.union(spark.createDataFrame([(5, ODD), (6, "c")], "n int, p string"))
+    sinks.replace_whole(more, target, ["p"])
+    assert stored(spark, target) == Counter(map(tuple, more.collect()))
+    for left in ("n in (1, 6)", "n = 4 or n = 1"):
+        for _ in range(2):
+            sinks.replace_whole(rows.where(left), target, ["p"])
+        assert stored(spark, target) == Counter(map(tuple, rows.where(left).collect()))
+
+
+def loads(spark, target):
+    frame = read_table(spark, target, text=["day"])
+    return Counter((r.n, r.p, r.day) for r in frame.select("n", "p", "day").collect())
+
+
+def test_a_load_replaces_itself_alone(spark, rows, target):
+    days = {"2024-01-01": rows, "2024-01-02": rows.where("n > 1"), "2024-01-03": rows}
+    for day in (*days, "2024-01-01", "2024-01-02"):
+        sinks.replace_whole(days[day], target, ["p"], scope={"day": day}, gather=day[-1] == "1")
+    sinks.replace_whole(rows.where("n = 4"), target, ["p"], scope={"day": "2024-01-03"})
+    days["2024-01-03"] = rows.where("n = 4")
+    expected = [(r.n, r.p, day) for day, frame in days.items() for r in frame.collect()]
+    assert loads(spark, target) == Counter(expected)
+    sinks.replace_whole(rows.where("false"), target, ["p"], scope={"day": "2024-01-03"})
+    assert loads(spark, target) == Counter(e for e in expected if e[2] != "2024-01-03")
+    with pytest.raises(ValueError, match="plain"):
+        sinks.replace_whole(rows, target, ["p"], scope={"day": "../x"})
+
+
+def test_a_write_that_fails_changes_nothing(spark, rows, target):
+    """Some tasks write their rows before another one fails; the next run mends all."""
+    sinks.replace_whole(rows, target, ["p"], scope={"day": "1"})
+    before = loads(spark, target)
+    new = spark.range(0, 400, 1, 4).select(
+        F.col("id").cast("int").alias("n"), F.lit("a").alias("p"), F.col("id").alias("at")
+    )
+    bad = F.when(F.col("at") == 399, F.raise_error(F.lit("lost"))).otherwise(F.col("p"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.replace_whole(
+            new.withColumn("p", bad).drop("at"), target, ["p"], scope={"day": "1"}, gather=False
+        )
+    assert loads(spark, target) == before
+    sinks.replace_whole(new.drop("at"), target, ["p"], scope={"day": "1"}, gather=False)
+    assert loads(spark, target) == Counter((i, "a", "1") for i in range(400))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_ranged_files_do_not_overlap(spark, tmp_path, hot):
+    path = str(tmp_path / "ranges")
+    name = F.when(F.lit(hot) & (F.col("id") % 3 > 0), 7).otherwise(F.xxhash64("id") % 1000)
+    rows = spark.range(0, 30_000, 1, 5).select(
+        (F.col("id") % 2).cast("string").alias("p"), name.alias("n"), F.col("id").alias("at")
+    )
+    sinks.write_ranged(rows, path, ["p"], ["n"], rows_per_file=2_000, files=6, spread=["at"])
+    files = (
+        spark.read.orc(path)
+        .groupBy("p", "_metadata.file_path")
+        .agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"))
+        .orderBy("p", "low", "high")
+        .collect()
+    )
+    assert sum(f.rows for f in files) == 30_000 and max(f.rows for f in files) <= 2_000
+    for a, b in zip(files, files[1:]):
+        assert a.p != b.p or a.high <= b.low
+    tasks = {f.file_path.rsplit("part-", 1)[1].split("-")[0] for f in files if f.low <= 7 <= f.high}
+    assert (len(tasks) > 2) == hot
+
+
+def test_buckets_need_a_catalog(spark, rows, tmp_path):
+    with pytest.raises(ValueError, match="catalog"):
+        sinks.overwrite_bucketed(rows, str(tmp_path / "b"), ["p"], 2)
+
+
 def test_layout_sorts_inside_files(spark, tmp_path):
     path = str(tmp_path / "sorted")
     frame = spark.range(1000).select(
@@ -131,6 +207,40 @@ def test_slices(spark):
     assert [r.month for r in ymd_partition(frame, "2020-02-01").collect()] == [2]
 
 
+SPELLINGS = [
+    "2024-01-05", "2024-1-5", "2024-01", "2024-1", "2024", " 2024-01-05", "2024-01-05 ", "02024-01-05",
+    "+2024-01-05", "2024-01-05T10:00", "2024-01-05 junk", "2024-1-05 ", "2024 ", "2024-1 ", "2024-10-05",
+    "2024-12", "2024-12-31", "2024-13-01", "2024-02-30", "2023-12-31", "2025", "2025-1-1", "2024-9-30",
+    "\t2024-1-31", "-2024-01-05", "002024-12-1", "2024\x7f", "2024-1\x7f", "2024-11\x7f", "", "junk",
+    "2024-011-01", "20240105", "2024-00-01", "2024-01-", "２024-01-05", None,
+]
+
+
+@pytest.mark.parametrize("months", [["202401"], ["202412"], ["202409", "202410", "202501"], ["202313"],
+                                    ["bad"], [], [None], ["202402", None]])
+def test_months_are_those_of_the_date(spark, months):
+    """Ranges of text rule out no spelling that Spark reads as a date of the month."""
+    frame = spark.createDataFrame([(s,) for s in SPELLINGS], "d string")
+    month = F.date_format(F.col("d").try_cast("date"), "yyyyMM")
+    expected = [r.d for r in frame.withColumn("m", month).collect() if r.m in months]
+    found = frame.where(filters.in_months(F.col("d"), months))
+    assert [r.d for r in found.collect()] == expected
+    assert months in ([], ["bad"], ["202313"], ["202402", None]) or expected
+
+
+def test_days_of_a_table(spark, tmp_path):
+    path = str(tmp_path / "days")
+    dates = ["2024-01-31", "2024-02-01", "2024-02-02"]
+    rows = spark.createDataFrame([(i, *d.split("-")) for i, d in enumerate(dates)],
+                                 "n int, year string, month string, day string")
+    sinks.append_partitions(rows, path, ["year", "month", "day"])
+    days = spark.createDataFrame([(dates[0],), (dates[2],), (dates[2],), (None,), ("2030-01-01",)],
+                                 "d string").select(F.col("d").cast("date").alias("d"))
+    for limit in (0, 2**62):
+        found = ymd_days(read_table(spark, path), days, "d", limit=limit)
+        assert sorted(r.n for r in found.collect()) == [0, 2]
+
+
 # -------------------------------------------------------------------- jobs
 
 
@@ -195,6 +305,90 @@ def test_clearing_and_report_jobs(spark, sf_dir, tables, tmp_path):
     assert spark_rows(read_table(spark, report)) == spark_rows(whole)
 
 
+def test_daily_jobs_may_run_again(spark, tables, tmp_path):
+    """Presentments, chargebacks and messages by load day, a day of each loaded twice."""
+    feed, back_feed, presented, back, trace = (
+        str(tmp_path / n) for n in ("feed", "back-feed", "presented", "back", "trace")
+    )
+    day = F.when(F.col("l00032") < "0700", "02").otherwise("01")
+    parts = {"year": F.lit("2024"), "month": F.lit("01"), "day": day}
+    for name, path in (("presentment_feed", feed), ("chargeback_feed", back_feed)):
+        spark.read.orc(tables[name]).withColumns(parts).write.partitionBy(*parts).orc(path)
+    again = ("2024-01-01", "2024-01-02", "2024-01-01")
+    for run_date in again:
+        jobs.presentment_job(
+            spark, feed=feed, issuers=tables["issuers"], target=presented, daily=True,
+            run_date=run_date, load_column="load_date", **shared(tables),
+        )
+    for run_date in again:
+        jobs.chargeback_job(
+            spark, feed=back_feed, clearing=presented, target=back, daily=True,
+            run_date=run_date, load_column="load_date", **shared(tables),
+        )
+    whole = [str(tmp_path / n) for n in ("whole", "whole-back")]
+    once = {"feed": feed, "target": whole[0], "issuers": tables["issuers"]}
+    jobs.presentment_job(spark, **once, **shared(tables))
+    jobs.chargeback_job(spark, feed=back_feed, clearing=whole[0], target=whole[1], **shared(tables))
+    for path, reference in zip((presented, back), whole):
+        found = read_table(spark, path, S.CLEARING_COLUMNS, text=["transaction_date"])
+        expected = read_table(spark, reference, S.CLEARING_COLUMNS, text=["transaction_date"])
+        assert found.count() and spark_rows(found) == spark_rows(expected)
+
+    messages = read_table(spark, tables[MESSAGES]).where(F.col("time_stamp") == MESSAGE_DAY)
+    for _ in range(2):
+        jobs.authorization_job(
+            spark, messages=tables[MESSAGES], target=trace, run_date=MESSAGE_DAY,
+            load_column="load_date", gather=True,
+        )
+    assert read_table(spark, trace).count() == messages.count() > 0
+    with pytest.raises(ValueError, match="daily"):
+        jobs.chargeback_job(
+            spark, feed="f", clearing="c", bins="b", categories="m", groups="g",
+            target="t", load_column="load_date",
+        )
+
+
+def test_a_full_chargeback_run_drops_vanished_dates(spark, tables, tmp_path):
+    presented, back, feed = (str(tmp_path / n) for n in ("p", "b", "feed"))
+    jobs.presentment_job(
+        spark, feed=tables["presentment_feed"], issuers=tables["issuers"], target=presented,
+        by_range=True, **shared(tables),
+    )
+    rows = spark.read.orc(tables["chargeback_feed"])
+    for kept in ("true", "l00032 < '0400'"):
+        rows.where(kept).write.mode("overwrite").orc(feed)
+        jobs.chargeback_job(
+            spark, feed=feed, clearing=presented, target=back, replace=True, **shared(tables)
+        )
+        expected = str(tmp_path / f"new-{len(kept)}")
+        jobs.chargeback_job(spark, feed=feed, clearing=presented, target=expected, **shared(tables))
+        text = {"columns": S.CLEARING_COLUMNS, "text": ["transaction_date"]}
+        found = read_table(spark, back, **text)
+        assert found.count() and spark_rows(found) == spark_rows(read_table(spark, expected, **text))
+
+
+def test_totals_add_up_in_any_order_of_loads(spark, sf_dir, tables, tmp_path):
+    """Chargebacks before, with and after their presentments; each load run again."""
+    names = ("issuers", "report_groups", "periods", "wallets")
+    lookups = {n: tables[n] for n in names}
+    presented, back, totals, report = (str(tmp_path / n) for n in ("p", "c", "t", "r"))
+    days = [f"2024-01-0{d}" for d in (1, 2, 3)]
+    load = F.element_at(F.array(*map(F.lit, days)), (F.abs(F.hash("arn")) % 3 + 1).cast("int"))
+    later = F.element_at(F.array(*map(F.lit, days)), (F.abs(F.hash("ticket")) % 3 + 1).cast("int"))
+    QUERIES["presentment"](spark, sf_dir).withColumn("load_date", load).write.partitionBy(
+        "load_date").orc(presented)
+    backs = QUERIES["chargeback"](spark, sf_dir).withColumn("ticket", F.col("clearing_file_name"))
+    backs.withColumn("load_date", later).drop("ticket").write.partitionBy("load_date").orc(back)
+    for run_date in (*days, days[1], days[2]):
+        jobs.totals_job(
+            spark, presented=presented, charged_back=back, target=totals,
+            run_date=run_date, load_column="load_date", **lookups,
+        )
+    jobs.merged_report_job(spark, totals=totals, target=report)
+    expected = QUERIES["fraud_report"](spark, sf_dir)
+    assert spark_rows(read_table(spark, report)) == spark_rows(expected)
+
+
 def test_replacing_needs_the_whole_feed(spark):
     with pytest.raises(ValueError, match="whole feed"):
         jobs.chargeback_job(
