@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 WINDOW = 13
 #: Bytes of item text up to which one automaton is broadcast. Its nodes need
@@ -132,6 +133,7 @@ def decontaminated(
     shipped = _shipped(docs, items, max_item_bytes)
     id_type = docs.schema[id_col].dataType.simpleString()
     item_type = items.schema["item_id"].dataType.simpleString()
+    item_kind = pa.list_(to_arrow_type(items.schema["item_id"].dataType))
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = automaton_of(shipped.value, window)
@@ -142,7 +144,7 @@ def decontaminated(
                     batch.column(0),
                     pa.array([o[0] for o in out], pa.int64()),
                     pa.array([o[1] for o in out], pa.int64()),
-                    pa.array([o[2] for o in out], pa.list_(pa.from_numpy_dtype("int64"))),
+                    pa.array([o[2] for o in out], item_kind),
                     pa.array(
                         [o[3] for o in out],
                         pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),

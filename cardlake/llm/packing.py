@@ -52,7 +52,7 @@ class Encoder:
     character, so a text's ids are those of its words, each with the blank before it.
     Words are remembered; new ones of several texts are encoded at once, set apart by
     a special token. Texts with other white space beside a blank, and texts that
-    spell that token, are encoded whole.
+    spell a special token, which then stands for itself, are encoded whole.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -60,11 +60,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.parting = Tokenizer.from_file(path)
         specials = self.parting.get_added_tokens_decoder()
         self.mark_id = min(specials)
         self.mark = specials[self.mark_id].content
+        self.special = re.compile("|".join(re.escape(t.content) for t in specials.values()))
         self.remembered = remembered
         self.known = _Known()
 
@@ -90,7 +90,7 @@ class Encoder:
         known, rows = self.known, []
         for text in texts:
             words = text.split(" ")
-            if _UNEVEN_BLANK.search(text) or self.mark in text:
+            if _UNEVEN_BLANK.search(text) or self.special.search(text):
                 rows.append([self._whole(text)])
             else:
                 first = words.pop(0)

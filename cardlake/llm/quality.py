@@ -149,7 +149,8 @@ def trained(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
     The sample are the labels with the smallest hashes of their ids, so it is the
     same on every run and spread over all documents; held-out ids are left out. Null
     ids and labels are skipped; of several labels of an id the smallest counts, of
-    several texts each. Documents without a label are not read into memory.
+    several texts the one with the smallest hash. Documents without a label are not read
+    into memory.
     """
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -164,18 +165,21 @@ def trained(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
         for batch in batches:
             found = [counts_of(t).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.binary()), batch.column(1)], names=["counts", "quality"]
+                [pa.array(found, pa.binary()), *batch.columns[1:]],
+                names=["counts", "quality", "place"],
             )
 
-    # at most max_labelled rows of two numbers
+    # at most max_labelled rows, brought into one order
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
-        .select("text", F.col("quality").cast("int").alias("quality"))
-        .mapInArrow(counted, "counts binary, quality int")
-        .limit(2 * max_labelled)
+        .groupBy("doc_id", F.col("quality").cast("int").alias("quality"))
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        .select("text", "quality", F.xxhash64("doc_id").alias("place"))
+        .mapInArrow(counted, "counts binary, quality int, place long")
         .collect()
     )
+    rows.sort(key=lambda r: r[2])
     if not rows:
         empty = np.zeros((0, TERMS), np.float32)
         return Voters(np.ones(TERMS, np.float32), np.eye(TERMS, 1), empty, np.zeros(0), 1)

@@ -255,38 +255,46 @@ def _rows(gram, content, doc, mark, place, spans: pa.RecordBatch) -> pa.RecordBa
     )
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
-    """Sorted rows in tables that end where a gram ends, or after ``rows`` rows of one."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table])
-        if held.num_rows < rows:
-            continue
-        gram = held.column("gram").to_numpy()
-        starts = np.flatnonzero(gram[1:] != gram[:-1]) + 1
-        if len(starts):
-            yield held.slice(0, int(starts[-1])).combine_chunks()
-            held = held.slice(int(starts[-1])).combine_chunks()
-    if held is not None and held.num_rows:
-        yield held.combine_chunks()
-
-
 def _compared(stretch_rows: DataFrame, least: int) -> DataFrame:
-    """First stretches of grams with several contents, and spans of the later equal ones."""
+    """First stretches of grams with several contents, and spans of the later equal ones.
+
+    Rows come sorted by gram and content. Of a gram that goes on in the next batch only
+    its first stretch is held, until a second content shows that it is wanted.
+    """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, 100_000):
-            gram, content, doc, mark, place = (table.column(i).to_numpy() for i in range(5))
-            new_gram = np.append(True, gram[1:] != gram[:-1])
-            leads = new_gram | np.append(True, content[1:] != content[:-1])
+        # the gram that goes on, its last content, and how many contents it has so far
+        last_gram = last_content = None
+        seen, held = 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(i).to_numpy() for i in range(5)]
+            gram, content, doc, mark, place = columns
+            goes_on = last_gram is not None and gram[0] == last_gram
+            new_gram = np.append(not goes_on, gram[1:] != gram[:-1])
+            leads = new_gram | np.append(
+                not goes_on or content[0] != last_content, content[1:] != content[:-1]
+            )
             gone = ~leads
             first = place[gone] >> 14
             spans = _spans_of(doc[gone], mark[gone], first, first + (place[gone] & 127) + least)
-            group = np.cumsum(new_gram) - 1
+            group = np.cumsum(new_gram) - int(new_gram[0])
             contents = np.bincount(group[leads], minlength=int(group[-1]) + 1)
+            if goes_on:
+                contents[0] += seen
             kept = leads & (contents[group] > 1)
-            yield _rows(gram[kept], content[kept], doc[kept], mark[kept], place[kept], spans)
+            rows = [c[kept] for c in columns]
+            if goes_on and held is not None and contents[0] > 1:
+                rows = [np.append(h, r) for h, r in zip(held, rows, strict=True)]
+            yield _rows(*rows, spans)
+            seen = int(contents[-1])
+            if seen > 1:
+                held = None
+            elif not goes_on or group[-1] > 0:
+                at = np.flatnonzero(leads)[-1]
+                held = [c[at : at + 1] for c in columns]
+            last_gram, last_content = gram[-1], content[-1]
 
     return (
         stretch_rows.repartition("gram")
@@ -369,7 +377,8 @@ def _expanded(parts: DataFrame, least: int) -> DataFrame:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[0] != last:
                     if hot:
-                        yield dealt(group)
+                        if group:
+                            yield dealt(group)
                     else:
                         done += group
                         done_size += group_size

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+
+import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from cardlake.llm import (
     chat,
@@ -138,6 +143,89 @@ def test_hot_gram_goes_by_strings(spark, monkeypatch):
     assert got == {i: v[1] for i, v in brute.repeats(rows).items()}
 
 
+@pytest.mark.parametrize("limit", range(0, 1400, 150))
+def test_hot_gram_followed_by_another(spark, monkeypatch, limit):
+    """Whichever row of a gram goes over the limit, its last one too."""
+    monkeypatch.setattr(repeats, "HOT", limit)
+    one, two = "abcdefghijklmnopqrstuvwxyz0123456789" * 4, "ZYXWVUTSRQPONMLKJIHGFEDCBA98765" * 4
+    rows = [(i, f"{chr(65 + i) * 9}{one}{chr(75 + i) * 9}{two}{chr(85 + i) * 9}") for i in range(6)]
+    found = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: sum(s.end - s.start for s in r.spans) for r in found.collect()}
+    assert got == {i: v[1] for i, v in brute.repeats(rows).items()}
+
+
+@pytest.mark.parametrize("rows_of_a_batch", [1, 2, 3, 1000])
+def test_stretches_of_a_gram_over_many_batches(spark, rows_of_a_batch):
+    """First stretches of grams with two contents or more, and spans of all equal ones."""
+    rows = [(1, 5, d) for d in range(4)] + [(1, 6, 9), (2, 5, 0), (2, 5, 1), (3, 1, 0), (4, 1, 0),
+            (4, 2, 0), (4, 2, 1), (4, 3, 0), (5, 7, 1), (5, 7, 2), (5, 7, 3)]
+    frame = spark.createDataFrame([(g, c, d, 0, d << 14) for g, c, d in rows],
+                                  "gram long, content long, doc long, mark long, place long")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows_of_a_batch)
+    try:
+        found = repeats._compared(frame, 100).collect()
+    finally:
+        spark.conf.set(name, before)
+    kept = sorted((r.gram, r.content, r.doc) for r in found if r.gram is not None)
+    assert kept == [(1, 5, 0), (1, 6, 9), (4, 1, 0), (4, 2, 0), (4, 3, 0)]
+    # equal spans of a document may come as one
+    assert {(r.doc, r.start, r.end - r.start) for r in found if r.gram is None} == {
+        (d, d, 100) for d in (1, 2, 3)
+    }
+
+
+def test_special_tokens_stand_for_themselves(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "<|endoftext |>", "plain text"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(path)
+    found = {r.doc_id: r.ids for r in packing.pieces(docs, path).collect()}
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        assert bytes(found[i]) == np.array(ids, "<u4").tobytes()
+
+
+def test_number_of_sequences_is_that_of_plain_best_fit(spark):
+    """Best-fit decreasing, document by document, opens as many sequences."""
+    draw = np.random.default_rng(3)
+    for lengths in (draw.integers(1, 101, 300), draw.integers(20, 60, 200), [100] * 3 + [1] * 50, []):
+        counts = {int(n): int((np.array(lengths) == n).sum()) for n in set(map(int, lengths))}
+        room = []
+        for n in sorted(map(int, lengths), reverse=True):
+            fits = [r for r in room if r >= n]
+            room.append(100) if not fits else None
+            best = min(fits, default=100)
+            room[room.index(best)] -= n
+        assert packing.best_fit(counts, 100)[1] == len(room)
+
+
+@pytest.mark.parametrize("kind, ids", [("string", ["b", "a", "é"]), ("int", [3, 1, 2]), ("date", None)])
+def test_item_ids_of_any_type(spark, kind, ids):
+    passage = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    ids = ids or [datetime.date(2024, 1, d) for d in (3, 1, 2)]
+    texts = [passage, passage + " fourteen", "unheard of"]
+    items = spark.createDataFrame(list(zip(ids, texts)), f"item_id {kind}, text string")
+    docs = spark.createDataFrame([(1, "so " + passage), (2, "x"), (3, None)], "doc_id long, text string")
+    found = {r.doc_id: r["items"] for r in decontamination.decontaminated(docs, items).collect()}
+    assert found == {1: sorted(ids[:2]), 2: [], 3: []}
+
+
+def test_one_text_for_each_labelled_id(spark):
+    """Repeated ids leave the sample within its bound, and the same on every run."""
+    docs = spark.createDataFrame(
+        [(i, f"text {i} {j} " + "word " * j) for i in range(60) for j in range(9)], "doc_id long, text string"
+    )
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] * 2, "doc_id long, quality int")
+    voters = [quality.trained(docs.repartition(n), labels, 40) for n in (2, 7)]
+    assert [len(v.labels) for v in voters] == [40, 40]
+    assert np.array_equal(voters[0].labels, voters[1].labels)
+    assert np.allclose(voters[0].vectors, voters[1].vectors)
+    same = quality.trained(docs, labels.withColumn("quality", F.lit(1)), 40)
+    assert {r.score for r in quality.scored(docs, same).collect()} == {1.0}
+
+
 def test_equal_rows_do_not_repeat_each_other(spark):
     """Rows that share id and text, found nowhere else, keep it; later ids lose it."""
     own, other = LONG[:400], LONG[5000:5400]

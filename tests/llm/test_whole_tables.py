@@ -29,7 +29,6 @@ def result(spark, sf_dir):
 
 def test_packing(result, table):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     expected, lengths = {}, []
     for doc_id, text in table("documents", "doc_id, text"):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
