@@ -1,8 +1,8 @@
 """Secret scans by corpus-wide ownership.
 
 Candidates are found by patterns. Every candidate's hash is then counted over the
-whole corpus by distinct repositories and owners: a string that many owners have is
-a copied example, one that a single owner has looks live. DataFrame functions only.
+whole corpus by distinct repositories and owners: a string that many owners or
+repositories have is a copied example, one that a single owner has looks live. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -32,8 +32,9 @@ OWNED = [
     ("mixed", r"[A-Za-z0-9_+/-]{24,}", 0, 24),
 ]
 KINDS = [k for k, *_ in BASE + OWNED]
-#: Most distinct owners of a live-looking secret.
+#: Most distinct owners of a live-looking secret, and most repositories of these.
 MAX_OWNERS = 1
+MAX_REPOSITORIES = 3
 #: Distinct characters of a secret that is not a placeholder.
 MIN_DISTINCT = 8
 
@@ -112,13 +113,17 @@ def candidates(
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Distinct owners and repositories of every secret in the corpus.
+    """Distinct owners and repositories of every secret, over the distinct texts that hold it.
 
-    Rows are first brought to one per secret, owner and repository in each task, then
-    counted: a secret that a third of all rows hold never meets in one task.
+    A text that several owners hold is one copied document, not as many uses of its
+    secrets: it counts for the first owner and repository by name. Rows are
+    brought to one per secret and text in each task, then counted: a secret that a third
+    of all rows hold never meets in one task.
     """
     return (
-        found.groupBy("secret_hash", "owner", "repository")
+        found.groupBy("secret_hash", "text_hash")
+        .agg(F.min(F.struct("owner", "repository")).alias("first"))
+        .groupBy("secret_hash", F.col("first.owner"), F.col("first.repository"))
         .agg(F.count("*").alias("n"))
         .groupBy("secret_hash", "owner")
         .agg(F.count("*").alias("repositories"), F.sum("n").alias("n"))
@@ -126,7 +131,7 @@ def ownership(found: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("owners"),
             F.sum("repositories").alias("repositories"),
-            F.sum("n").alias("occurrences"),
+            F.sum("n").alias("texts"),
         )
     )
 
@@ -138,12 +143,15 @@ def judged_spans(
     id_col: str = "doc_id",
     text_col: str = "text",
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """A row per span: id, text_hash, kind, kind_no, start, end, owners, live.
 
     Spans of base kinds are always kept; ``live`` tells whether they look live. Spans
     of the owned kinds are kept only where they do: the secret belongs to at most
-    ``max_owners`` owners and is no placeholder.
+    ``max_owners`` owners, in at most ``max_repositories`` repositories of theirs, and is
+    no placeholder. What is spread more widely is a copied example. Copies of one text
+    count once, whoever holds them.
 
     Null and empty texts have no spans. A null owner or repository counts as one of
     its own. Equal rows have equal spans, returned once. Other columns of ``docs`` are
@@ -156,7 +164,9 @@ def judged_spans(
         found.join(counts, "secret_hash")
         .withColumn(
             "live",
-            (F.col("owners") <= max_owners) & _live_looking(F.col("kind"), F.col("secret")),
+            (F.col("owners") <= max_owners)
+            & (F.col("repositories") <= max_repositories)
+            & _live_looking(F.col("kind"), F.col("secret")),
         )
         .where(F.col("kind").isin(base) | F.col("live"))
         .groupBy("id", "text_hash", "kind", "kind_no", "start", "end")

@@ -67,15 +67,53 @@ def tokens_of(host: Column, path: Column) -> Column:
     )
 
 
+def token_classes(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """Frequent tokens and the class of each: ``token``, ``class``.
+
+    Tokens that occur in the same rows say the same, so they are one item, named by the
+    first of them; otherwise every subset of the tokens of a common template would be
+    an itemset of its own. Rows are compared by their number and two sums of 64-bit
+    hashes. A token in less than ``min_support`` of the rows takes no part, so the table is
+    bounded by tokens a URL over ``min_support``, whatever the number of rows.
+    """
+    n = labelled.count()
+    row = ["tokens", "verdict"]
+    tokens = labelled.select(
+        F.explode("tokens").alias("token"),
+        F.xxhash64(*row).cast("decimal(20,0)").alias("one"),
+        F.xxhash64(F.lit("other"), *row).cast("decimal(20,0)").alias("other"),
+    )
+    alike = (
+        tokens.groupBy("token")
+        .agg(F.count("*").alias("n"), F.sum("one").alias("one"), F.sum("other").alias("other"))
+        .where(F.col("n") >= min_support * n)
+        .groupBy("n", "one", "other")
+        .agg(F.min("token").alias("class"), F.collect_set("token").alias("members"))
+    )
+    return stored(alike.select(F.explode("members").alias("token"), "class"), "token-classes")
+
+
+def in_classes(rows: DataFrame, classes: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` and ``classes``, those of the row's frequent tokens, each once.
+
+    ``keep`` must tell rows apart.
+    """
+    found = rows.select(*keep, F.explode_outer("tokens").alias("token"))
+    return (
+        found.join(classes, "token", "left")
+        .groupBy(*keep)
+        .agg(F.collect_set("class").alias("classes"))
+    )
+
+
 def mined_rules(
     labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
     """Rules ``tokens -> verdict`` from rows of (tokens, verdict).
 
     Columns: tokens, verdict, confidence, support, key (the rarest token). A rule is
-    dropped if one with fewer of its tokens is as confident of the same verdict. A token
-    must occur in ``min_support`` of the rows to take part, so the number of frequent tokens is
-    bounded by tokens a URL over ``min_support``, whatever the number of rows.
+    dropped if one with fewer of its tokens is as confident of the same verdict. Tokens
+    that go together in all rows should be one; see ``token_classes``.
     """
     items = labelled.select(
         F.concat("tokens", F.array(F.concat(F.lit("y:"), "verdict"))).alias("items")
@@ -127,16 +165,16 @@ def mined_rules(
     return stored(keyed.join(beaten, ["tokens", "verdict"], "left_anti"), "kept-rules")
 
 
-def mined_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def mined_verdicts(urls: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
     """host, path, verdict, confidence of every (host, path) that a rule fits.
 
-    The index holds each rule under its rarest token; a URL looks up its tokens and keeps
-    rules whose tokens it all has. The most confident one wins, then the best supported,
-    then the one with more tokens, then ``block``.
+    The index holds each rule under its rarest class; a URL looks up the classes of its
+    tokens and keeps rules whose classes it all has. The most confident one wins, then
+    the best supported, then the one with more classes, then ``block``.
     """
-    tokens = tokens_of(F.col("host"), F.col("path"))
-    asked = urls.select("host", "path", tokens.alias("__have")).select(
-        "host", "path", "__have", F.explode("__have").alias("key")
+    rows = urls.select("host", "path", tokens_of(F.col("host"), F.col("path")).alias("tokens"))
+    asked = in_classes(rows, classes, "host", "path").select(
+        "host", "path", F.col("classes").alias("__have"), F.explode("classes").alias("key")
     )
     best = F.max(
         F.struct("confidence", "support", F.size("tokens").alias("n"), "verdict")
@@ -181,10 +219,14 @@ def filtered_urls(
     )
     # a URL counts once in mining, whatever its number of copies
     labelled = urls.where("verdict is not null").select(
-        tokens_of(F.col("host"), F.col("path")).alias("tokens"), "verdict"
+        "host", "path", tokens_of(F.col("host"), F.col("path")).alias("tokens"), "verdict"
+    )
+    classes = token_classes(labelled, min_support)
+    items = in_classes(labelled, classes, "host", "path", "verdict")
+    rules = mined_rules(
+        items.select(F.col("classes").alias("tokens"), "verdict"), min_support, min_confidence
     )
-    rules = mined_rules(labelled, min_support, min_confidence)
-    mined = mined_verdicts(urls.where("verdict is null"), rules)
+    mined = mined_verdicts(urls.where("verdict is null"), rules, classes)
     judged = stored(
         urls.where("verdict is null")
         .select("host", "path")
