@@ -2,12 +2,15 @@
 
 Terms are runs of five words (a shorter text is one term). A term's hash votes on
 every bit as often as the term occurs; a bit is set if more than half of the votes
-are for it. A Jaccard likeness of 0.8 is about 19 differing bits, more than block tables
-can search, so near copies are found by their sets of terms. DataFrame functions only.
+are for it. A Jaccard likeness of 0.8 is about 19 differing bits; the radius of 23 holds
+most pairs as alike as that, and the exact likeness of term sets counts the others too.
+DataFrame functions only.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +18,9 @@ from cardlake.llm.shared import stored
 
 SHINGLE = 5
 BITS = 128
-RADIUS = 3
+RADIUS = 23
+#: Bits by which a block of a block table may differ, and the fewest blocks there are.
+FLIPS, BLOCKS = 2, 4
 #: Percent of Jaccard likeness of near copies.
 PERCENT = 80
 #: Terms that so many asked texts hold are hot, at most so many of them.
@@ -23,8 +28,6 @@ HOT_TEXTS, HOT_TERMS = 16, 4096
 #: Votes are first added eight to a signed long, so at most 127 of them.
 CHUNK = 127
 _LANES = 0x0101010101010101
-#: Texts up to this number are found by a broadcast of their keys; beyond, by a shuffle.
-BROADCAST_TEXTS = 2_000_000
 #: Term hashes of a set have 62 bits; the next one puts hot terms last.
 _RANKED, _LAST = 2**62 - 1, 2**62
 _WHITE = " \t\n\x0b\f\r"
@@ -107,45 +110,103 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - distance(a, b).cast("double") / BITS
 
 
-def _tables(radius: int, fingerprint: Column) -> Column:
-    """Block tables: of radius + 1 blocks one is free of differences."""
-    digits = BITS // 4
-    edges = [digits * j // (radius + 1) for j in range(radius + 2)]
-    return F.array(
-        *[
-            F.struct(F.lit(j).alias("no"), F.substring(fingerprint, a + 1, b - a).alias("block"))
-            for j, (a, b) in enumerate(zip(edges, edges[1:], strict=False))
-        ]
-    )
+def _blocks(radius: int, flips: int) -> list[tuple[int, int]]:
+    """Hexadecimal digits (from, to) of the blocks: one of them has ``flips`` differences at most."""
+    digits, number = BITS // 4, max(BLOCKS, radius // (flips + 1) + 1)
+    edges = [digits * j // number for j in range(number + 1)]
+    return list(zip(edges, edges[1:], strict=False))
+
+
+def _words_of_bits(fingerprint: Column) -> list[Column]:
+    """The fingerprint as two longs of 64 bits."""
+    quarters = [F.conv(F.substring(fingerprint, d + 1, 8), 16, 10).cast("long") for d in (0, 8, 16, 24)]
+    return [F.shiftleft(quarters[i], 32).bitwiseOR(quarters[i + 1]) for i in (0, 2)]
+
+
+def _digits_of(high: Column, low: Column) -> Column:
+    """The 32 hexadecimal digits of two longs."""
+    return F.lower(F.concat(F.lpad(F.hex(high), 16, "0"), F.lpad(F.hex(low), 16, "0")))
+
+
+def _block(high: Column, low: Column, cut: tuple[int, int]) -> Column:
+    """The digits from .. to of a fingerprint as a number; a block has 32 bits at most."""
+    first, last = cut
+    only = F.lit((1 << 4 * (last - first)) - 1).cast("long")
+    if last <= 16:
+        return F.shiftrightunsigned(high, 64 - 4 * last).bitwiseAND(only)
+    rest = F.shiftrightunsigned(low, 128 - 4 * last)
+    if first < 16:
+        rest = rest.bitwiseOR(F.shiftleft(high, 4 * (last - 16)))
+    return rest.bitwiseAND(only)
+
+
+def _masks(bits: int, flips: int) -> Column:
+    """All numbers of ``bits`` bits of which at most ``flips`` are set."""
+    set_bits = (c for k in range(flips + 1) for c in combinations(range(bits), k))
+    return F.array(*[F.lit(sum(1 << b for b in c)).cast("long") for c in set_bits])
 
 
 def within_radius(
-    queries: DataFrame, points: DataFrame, radius: int = RADIUS, column: str = "fingerprint"
+    queries: DataFrame,
+    points: DataFrame,
+    radius: int = RADIUS,
+    column: str = "fingerprint",
+    flips: int = FLIPS,
 ) -> DataFrame:
     """``fingerprint``, ``near``, ``distance``, ``n``: all distinct pairs in the radius.
 
     Both sides are brought to distinct fingerprints first; ``n`` counts the rows of
-    ``points`` with the fingerprint ``near``, copies of the query included. Each
-    fingerprint enters one table per block, the block moved to the front as the key, and
-    pairs that meet in a table are compared in full. Null fingerprints find nothing.
+    ``points`` with the fingerprint ``near``, copies of the query included. A fingerprint
+    is cut into so many blocks that in one of them a pair of the radius differs by
+    ``flips`` bits at most. Each point enters one table per block, the block moved to
+    the front as the key; a query looks up every key that near to its own. Pairs that meet
+    are compared in full and given by the first table they meet in, so nothing is lost or
+    twice. Null fingerprints find nothing.
     """
     if not 0 <= radius < BITS // 4:
         raise ValueError("the radius must be below 32")
-    asked = queries.where(F.col(column).isNotNull()).select(F.col(column).alias("fingerprint"))
-    held = points.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("near"))
-    asked = asked.distinct().select(
-        "fingerprint", F.explode(_tables(radius, F.col("fingerprint"))).alias("t")
+    if not 0 <= flips <= 3:
+        raise ValueError("a block may differ by 0 to 3 bits")
+    cuts = _blocks(radius, flips)
+    tables = [F.lit(no << 32).cast("long") for no in range(len(cuts))]
+
+    def keys(high: str, low: str, of_block) -> Column:
+        blocks = [_block(F.col(high), F.col(low), cut) for cut in cuts]
+        return F.flatten(
+            F.array(*[of_block(t.bitwiseOR(x), cut) for t, x, cut in zip(tables, blocks, cuts, strict=True)])
+        )
+
+    def nearby(key: Column, cut: tuple[int, int]) -> Column:
+        masks = _masks(4 * (cut[1] - cut[0]), flips)
+        return F.transform(masks, lambda mask: mask.bitwiseXOR(key))
+
+    def halves(rows: DataFrame, names: list[str], *more: str) -> DataFrame:
+        found = _words_of_bits(F.col(column))
+        return rows.select(*[c.alias(n) for c, n in zip(found, names, strict=True)], *more)
+
+    asked = queries.where(F.col(column).isNotNull()).select(column).distinct()
+    asked = halves(asked, ["a0", "a1"])
+    asked = asked.select(F.explode(keys("a0", "a1", nearby)).alias("key"), "a0", "a1")
+    held = points.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    held = halves(held, ["b0", "b1"], "n")
+    held = held.select(
+        F.explode(keys("b0", "b1", lambda key, _: F.array(key))).alias("key"), "b0", "b1", "n"
     )
-    held = (
-        held.agg(F.count("*").alias("n"))
-        .select("near", "n", F.explode(_tables(radius, F.col("near"))).alias("u"))
+    apart = [F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")) for i in (0, 1)]
+    first = F.coalesce(
+        *[F.when(F.bit_count(_block(*apart, cut)) <= flips, t) for t, cut in zip(tables, cuts, strict=True)]
     )
     return (
-        asked.join(held, F.col("t") == F.col("u"))
-        .withColumn("distance", distance(F.col("fingerprint"), F.col("near")))
+        asked.join(held, "key")
+        .withColumn("distance", F.bit_count(apart[0]) + F.bit_count(apart[1]))
         .where(F.col("distance") <= radius)
-        .groupBy("fingerprint", "near")
-        .agg(F.max("distance").alias("distance"), F.max("n").alias("n"))
+        .where(first == F.shiftleft(F.shiftrightunsigned("key", 32), 32))
+        .select(
+            _digits_of(F.col("a0"), F.col("a1")).alias("fingerprint"),
+            _digits_of(F.col("b0"), F.col("b1")).alias("near"),
+            "distance",
+            "n",
+        )
     )
 
 
@@ -232,8 +293,6 @@ def alike_counts(
         "alike-pairs",
     )
     meeting = stored(pairs.select(F.col("b").alias("key")).distinct(), "alike-meeting")
-    if meeting.count() <= BROADCAST_TEXTS:
-        meeting = F.broadcast(meeting)
     others = rows.join(meeting, "key", "left_semi").dropDuplicates(["key"])
     # texts take less room than their terms
     both = F.size(F.array_intersect("x", "y"))

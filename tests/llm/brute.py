@@ -44,9 +44,13 @@ def edited_texts(docs: list[tuple[int, str]]) -> dict[int, tuple[int, str]]:
     return out
 
 
-def five_word_terms(text: str | None) -> set[tuple[str, ...]]:
+def five_word_runs(text: str | None) -> list[tuple[str, ...]]:
     w = re.split(r"[\x20\x09-\x0D]+", (text or "").strip(" \t\n\x0b\f\r"))
-    return {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))}
+    return [tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))]
+
+
+def five_word_terms(text: str | None) -> set[tuple[str, ...]]:
+    return set(five_word_runs(text))
 
 
 def revisits(pages: list[tuple[int, str | None]]) -> dict[int, tuple]:

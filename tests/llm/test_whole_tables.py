@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cardlake.llm import fingerprints
@@ -101,7 +103,8 @@ def test_fingerprints(result, table):
         assert r.near_edited == 1 - apart / 128
         if r.doc_id % 50 == 0:
             near = sum(
-                bin(int(r.fingerprint, 16) ^ int(x.fingerprint, 16)).count("1") <= 3 for x in rows
+                bin(int(r.fingerprint, 16) ^ int(x.fingerprint, 16)).count("1") <= fingerprints.RADIUS
+                for x in rows
             )
             assert r.n_near == near - 1
         else:
@@ -123,6 +126,85 @@ def test_near_copies_against_jaccard(result, table):
     assert rows and any(r.n_alike for r in rows.values())
 
 
+def simhash(text, hashes):
+    """Plain votes over all terms of a text, repeats counted."""
+    terms = brute.five_word_runs(text)
+    votes = [sum((hashes[t] >> b) & 1 for t in terms) * 2 > len(terms) for b in range(127, -1, -1)]
+    return f"{int(''.join('01'[v] for v in votes), 2):032x}"
+
+
+def test_fingerprint_is_a_plain_simhash(spark):
+    texts = [None, " ", "a b", "a b c d e", "x y " * 300, " ".join(f"w{j % 37}" for j in range(900))]
+    runs = {run for t in texts for run in brute.five_word_runs(t)}
+    frame = spark.createDataFrame(
+        [(list(r) + [None] * (5 - len(r)),) for r in runs], "run array<string>"
+    )
+    h0 = F.xxhash64(*[F.get("run", F.lit(j)) for j in range(5)])
+    found = frame.select("run", h0.alias("h0"), F.xxhash64(h0, F.lit(1)).alias("h1")).collect()
+    low = (1 << 64) - 1
+    hashes = {
+        tuple(w for w in r.run if w is not None): (r.h0 & low) << 64 | (r.h1 & low) for r in found
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rows = fingerprints.fingerprinted(docs, "text", ["id"], []).collect()
+    assert {r.id: r.fingerprint for r in rows} == {
+        i: simhash(t, hashes) for i, t in enumerate(texts)
+    }
+
+
+@pytest.mark.parametrize(("radius", "flips"), [(0, 0), (3, 0), (10, 1), (23, 2), (29, 2), (31, 3)])
+def test_radius_search_loses_nothing(spark, radius, flips):
+    """Every distance up to the radius and beyond, copies, nulls, the highest bits set."""
+    rng = np.random.default_rng(radius)
+    values = [None, "0" * 32, "f" * 32, "f" * 32, "8" + "0" * 31]
+    for _ in range(12):
+        start = int.from_bytes(rng.bytes(16), "big")
+        for apart in range(0, radius + 4):
+            bits = rng.choice(128, apart, replace=False)
+            values.append(f"{start ^ sum(1 << int(b) for b in bits):032x}")
+    # all differences in one block, then spread evenly
+    values += [f"{(1 << radius) - 1:032x}", f"{sum(1 << (4 * b) for b in range(radius)):032x}"]
+    points = spark.createDataFrame([(v,) for v in values], "fingerprint string")
+    asked = points.limit(len(values)).where("fingerprint is null or hash(fingerprint) % 3 <> 0")
+    given = [r.fingerprint for r in asked.collect()]
+    counts = Counter(v for v in values if v is not None)
+    expected = set()
+    for a in {v for v in given if v is not None}:
+        for b, n in counts.items():
+            d = (int(a, 16) ^ int(b, 16)).bit_count()
+            if d <= radius:
+                expected.add((a, b, d, n))
+    rows = fingerprints.within_radius(asked, points, radius, flips=flips).collect()
+    assert len(rows) == len(expected)
+    assert {tuple(r) for r in rows} == expected
+
+
+def test_radius_holds_near_copies(spark):
+    """Recall of the radius against brute force: pairs of Jaccard 0.8 and more."""
+    rng = np.random.default_rng(5)
+    docs = []
+    for k in range(150):
+        words = [f"k{k}w{j}" for j in range(int(rng.integers(80, 400)))]
+        start, changed = int(rng.integers(0, 20)), max(1, len(words) * int(rng.integers(1, 11)) // 100)
+        other = words[:start] + [f"x{j}" for j in range(changed)] + words[start + changed :]
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    frame = spark.createDataFrame(docs, "id long, text string")
+    prints = fingerprints.fingerprinted(frame, "text", ["id"], [])
+    by_print = {r.fingerprint: r.id for r in prints.collect()}
+    found = {
+        (by_print[r.fingerprint], by_print[r.near])
+        for r in fingerprints.within_radius(prints, prints).collect()
+    }
+    sets = {i: brute.five_word_terms(t) for i, t in docs}
+    alike = [
+        (i, i + 1)
+        for i in range(0, 300, 2)
+        if 100 * len(sets[i] & sets[i + 1]) >= 80 * len(sets[i] | sets[i + 1])
+    ]
+    assert len(alike) > 50
+    assert np.mean([pair in found for pair in alike]) >= 0.9
+
+
 def test_near_copies_beyond_the_radius(spark):
     """Likeness on both sides of 0.8, with a passage that all texts hold."""
     hot = [f"h{j}" for j in range(60)]
