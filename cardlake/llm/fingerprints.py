@@ -196,8 +196,9 @@ def within_radius(
     first = F.coalesce(
         *[F.when(F.bit_count(_block(*apart, cut)) <= flips, t) for t, cut in zip(tables, cuts, strict=True)]
     )
+    # by shuffle at every size: the planner does not know how many keys are looked up
     return (
-        asked.join(held, "key")
+        asked.join(held.hint("merge"), "key")
         .withColumn("distance", F.bit_count(apart[0]) + F.bit_count(apart[1]))
         .where(F.col("distance") <= radius)
         .where(first == F.shiftleft(F.shiftrightunsigned("key", 32), 32))
