@@ -12,7 +12,8 @@
 Tiles are gone through twice: first each set is compared with the one before it that looks
 most alike, which joins large groups of near copies by few comparisons; then all pairs that
 are still in different components are bounded and intersected. So no link between
-components is missed, and no group is expanded into all its pairs.
+components is missed, and no group is expanded into all its pairs. ``links_of_sets``
+compares all pairs of all tiles instead and returns every link.
 """
 
 from __future__ import annotations
@@ -448,22 +449,10 @@ def _texts(docs: DataFrame, nodes: DataFrame, unique: bool, width: int) -> DataF
     return found.mapInArrow(named, "name long, text string").dropDuplicates(["name"])
 
 
-def linked_documents(
-    docs: DataFrame,
-    width: int = SHINGLE,
-    percent: int = PERCENT,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """Per row of ``docs``: id, ``n_shingles``, ``component_id``.
-
-    Two rows link when 100 * intersection >= ``percent`` * union of their shingle sets; the
-    component is the smallest id reachable by links, the row's own included. Words are
-    runs without ASCII white space, A-Z in lower case. Null, empty and blank texts have an
-    empty set and link with nothing. Rows with equal sets link, rows that repeat an id too
-    if their texts do; a null id is passed over in the smallest id. Columns other than id
-    and text are left out. Sets are known by 64-bit hashes, of shingles and of whole sets.
-    """
+def _prepared(
+    docs: DataFrame, width: int, percent: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame, DataFrame, bool, DataFrame]:
+    """Rows (id, text), their sets, the distinct sets, whether ids are unique, rare shingles."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sets = stored(_sets(rows, width), "sets")
     counts = _bucket_counts(sets)
@@ -501,6 +490,26 @@ def linked_documents(
         .select("shingle", "deal", "deals", "name", "n", "larger")
     )
     shared = stored(prefixes, "prefixes")
+    return rows, sets, nodes, unique, shared
+
+
+def linked_documents(
+    docs: DataFrame,
+    width: int = SHINGLE,
+    percent: int = PERCENT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Per row of ``docs``: id, ``n_shingles``, ``component_id``.
+
+    Two rows link when 100 * intersection >= ``percent`` * union of their shingle sets; the
+    component is the smallest id reachable by links, the row's own included. Words are
+    runs without ASCII white space, A-Z in lower case. Null, empty and blank texts have an
+    empty set and link with nothing. Rows with equal sets link, rows that repeat an id too
+    if their texts do; a null id is passed over in the smallest id. Columns other than id
+    and text are left out. Sets are known by 64-bit hashes, of shingles and of whole sets.
+    """
+    rows, sets, nodes, unique, shared = _prepared(docs, width, percent, id_col, text_col)
     about = nodes.select("name", "bits")
     first = shared.join(about, "name").withColumn("root", F.col("name"))
     pairs = _tile_pairs(_tile_rows(first, percent, False), percent, False)
@@ -541,6 +550,60 @@ def linked_documents(
     )
 
 
+def links_of_sets(
+    docs: DataFrame,
+    width: int = SHINGLE,
+    percent: int = PERCENT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> tuple[DataFrame, DataFrame]:
+    """All links (a, b) between different sets, and the rows (id, ``set``, ``n_shingles``) with them.
+
+    ``a`` < ``b`` are sets as ``set`` names them, each link once; rows of one set link too and
+    are not listed as pairs. ``set`` is null for a row without words, which links with nothing.
+    Unlike ``linked_documents`` every pair that meets in a tile is compared, those of one
+    component too, so a large group of different near copies costs as much as it has links.
+    """
+    rows, sets, nodes, unique, shared = _prepared(docs, width, percent, id_col, text_col)
+    apart = shared.join(nodes.select("name", "bits"), "name").withColumn("root", F.col("name"))
+    pairs = _tile_pairs(_tile_rows(apart, percent, True), percent, True)
+    links = stored(_linked(pairs, rows, nodes, unique, width, percent), "all-links")
+    members = sets.where("counts is null").select(
+        F.col("id").alias(id_col),
+        F.when(F.col("n") > 0, F.col("name")).alias("set"),
+        F.col("n").alias("n_shingles"),
+    )
+    return links, members
+
+
+def link_counts(
+    docs: DataFrame,
+    width: int = SHINGLE,
+    percent: int = PERCENT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Per row of ``docs``: id, ``n_shingles``, ``n_links``: the other rows it links with.
+
+    Rows with equal sets link with each other, copies counted one by one. Sets are
+    counted first, so copies are never made into pairs.
+    """
+    links, members = links_of_sets(docs, width, percent, id_col, text_col)
+    copies = members.where("set is not null").groupBy("set").agg(F.count("*").alias("copies"))
+    copies = stored(copies, "copies")
+    both = links.select("a", "b").union(links.select("b", "a"))
+    others = (
+        both.join(copies.toDF("b", "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
+    )
+    found = copies.join(others, F.col("set") == F.col("a"), "left").select(
+        F.col("set").alias("__set"),
+        (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
+    )
+    return members.join(stored(found, "link-counts"), F.col("set") == F.col("__set"), "left").select(
+        id_col, "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )
+
+
 def one_of_each(
     docs: DataFrame,
     width: int = SHINGLE,
