@@ -212,6 +212,27 @@ def test_item_ids_of_any_type(spark, kind, ids):
     assert found == {1: sorted(ids[:2]), 2: [], 3: []}
 
 
+def test_items_in_several_parts(spark, docs):
+    """Items beyond the limit of one automaton give the same rows as one automaton."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[i : i + 17]) for i in range(0, 40, 10)] + ["a few words", "é ü", None, ""]
+    items = spark.createDataFrame(list(enumerate(texts)) * 2, "item_id int, text string")
+    some = [
+        (1, " ".join(words), 5), (1, " ".join(words), 5), (2, "So: W3 " + ", ".join(words[4:33]) + ". End", 6),
+        (3, None, 7), (4, "", 8), (None, "a few words", 9), (5, "é ü " + "x " * 100, 1), (6, "clean", 2),
+    ]
+    mine = spark.createDataFrame(some, "doc_id long, text string, key int")
+    for frame, limit in ((mine, 60), (docs, 200)):
+        assert len(decontamination._parts(items, limit)) > 1
+        whole = decontamination.decontaminated(frame, items).collect()
+        cut = decontamination.decontaminated(frame, items, max_item_bytes=limit)
+        assert sorted(map(str, cut.collect())) == sorted(map(str, whole))
+        kept = decontamination.without_contaminated(frame, items).collect()
+        clean = decontamination.without_contaminated(frame, items, max_item_bytes=limit)
+        assert clean.schema == frame.schema
+        assert sorted(map(str, clean.collect())) == sorted(map(str, kept))
+
+
 def test_one_text_for_each_labelled_id(spark):
     """Repeated ids leave the sample within its bound, and the same on every run."""
     docs = spark.createDataFrame(
