@@ -12,6 +12,10 @@ on many machines, every string of that length is assigned to the smallest hash a
    boundary between them by then share that many bytes; all but the first start are repeats.
 3. A gram with more stretches than one task should hold deals out its single strings
    by their hashes instead.
+
+No task gets all stretches of a gram that many documents share: grams of crowded buckets of a
+histogram are shuffled with their content, and those that need bytes are counted, so that
+strings of hot ones are dealt out before any shuffle by gram.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.llm.shared import stored
@@ -32,6 +36,13 @@ GRAM = 32
 CHUNK = 2_000_000
 #: Bytes of stretches of one gram beyond which its strings are dealt out.
 HOT = 4_000_000
+#: Buckets of grams that are counted, and how many rows more than the mean (and at least)
+#: make one crowded. Fewer than BUCKETS / CROWD can be.
+BUCKETS = 1 << 16
+CROWD = 8
+CROWD_ROWS = 1000
+#: Stretches whose strings are hashed at once.
+_DEALT = 2000
 #: Starts of a text that are handled at once.
 _PIECE = 1 << 18
 
@@ -255,11 +266,22 @@ def _rows(gram, content, doc, mark, place, spans: pa.RecordBatch) -> pa.RecordBa
     )
 
 
-def _compared(stretch_rows: DataFrame, least: int) -> DataFrame:
+def _crowded(stretch_rows: DataFrame) -> Column:
+    """Whether a row's gram falls into a bucket with far more rows than others."""
+    bucket = F.pmod("gram", F.lit(BUCKETS))
+    counts = stored(stretch_rows.groupBy(bucket.alias("bucket")).count(), "gram-buckets")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    limit = max(CROWD_ROWS, CROWD * total / BUCKETS)
+    full = [r.bucket for r in counts.where(F.col("count") > limit).select("bucket").collect()]
+    return bucket.isin(full) if full else F.lit(False)
+
+
+def _compared(stretch_rows: DataFrame, least: int, crowded: Column) -> DataFrame:
     """First stretches of grams with several contents, and spans of the later equal ones.
 
     Rows come sorted by gram and content. Of a gram that goes on in the next batch only
-    its first stretch is held, until a second content shows that it is wanted.
+    its first stretch is held, until a second content shows that it is wanted. Contents of
+    crowded grams are spread over tasks, so the first stretch of each of them is kept.
     """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,6 +292,7 @@ def _compared(stretch_rows: DataFrame, least: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             columns = [batch.column(i).to_numpy() for i in range(5)]
+            spread = batch.column(5).to_numpy(zero_copy_only=False)
             gram, content, doc, mark, place = columns
             goes_on = last_gram is not None and gram[0] == last_gram
             new_gram = np.append(not goes_on, gram[1:] != gram[:-1])
@@ -283,26 +306,42 @@ def _compared(stretch_rows: DataFrame, least: int) -> DataFrame:
             contents = np.bincount(group[leads], minlength=int(group[-1]) + 1)
             if goes_on:
                 contents[0] += seen
-            kept = leads & (contents[group] > 1)
+            kept = leads & (spread | (contents[group] > 1))
             rows = [c[kept] for c in columns]
             if goes_on and held is not None and contents[0] > 1:
                 rows = [np.append(h, r) for h, r in zip(held, rows, strict=True)]
             yield _rows(*rows, spans)
             seen = int(contents[-1])
-            if seen > 1:
+            if seen > 1 or spread[-1]:
                 held = None
             elif not goes_on or group[-1] > 0:
                 at = np.flatnonzero(leads)[-1]
                 held = [c[at : at + 1] for c in columns]
             last_gram, last_content = gram[-1], content[-1]
 
+    part = F.when(F.col("crowded"), F.col("content")).otherwise(F.lit(0))
     return (
-        stretch_rows.repartition("gram")
+        stretch_rows.withColumn("crowded", crowded)
+        .repartition("gram", part)
         .sortWithinPartitions("gram", "content", "doc", "mark", "place")
         .mapInArrow(found, _STRETCH)
     )
 
 
+def _wanted(leads: DataFrame, least: int, crowded: Column) -> tuple[DataFrame, DataFrame]:
+    """Stretches of grams with several contents: those that meet, and those of hot grams.
+
+    ``leads`` holds one row for each gram and content, and crowded grams with one content too.
+    """
+    columns = ["gram", "doc", "mark", "place"]
+    counts = leads.where(crowded).groupBy("gram").count().where("count > 1")
+    counts = stored(counts.withColumnRenamed("count", "n"), "crowded-grams")
+    several = leads.where(crowded).join(counts, "gram").select(*columns, "n")
+    is_hot = F.col("n") * least > HOT
+    meeting = leads.where(~crowded).select(columns).union(several.where(~is_hot).select(columns))
+    return meeting, several.where(is_hot).select(columns)
+
+
 def _with_bytes(rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """The bytes of the wanted stretches."""
     per_row = wanted.groupBy("doc", "mark").agg(
@@ -340,6 +379,34 @@ def _with_bytes(rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
 _FOUND = "doc long, mark long, start long, end long, string binary"
 
 
+def _dealt(held: list[tuple], least: int) -> pa.RecordBatch:
+    """All strings of the stretches, by their hashes."""
+    rows = []
+    for _, doc, mark, place, raw in held:
+        first = place >> 14
+        for j in range(len(raw) - least + 1):
+            digest = xxhash.xxh3_128_digest(raw[j : j + least])
+            rows.append((doc, mark, first + j, first + j + least, digest))
+    columns = zip(*rows, strict=True)
+    types = [pa.int64()] * 4 + [pa.binary()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+        names=[f.split()[0] for f in _FOUND.split(", ")],
+    )
+
+
+def _strings(parts: DataFrame, least: int) -> DataFrame:
+    """The single strings of stretches, without a shuffle."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _DEALT):
+                some = batch.slice(at, _DEALT)
+                yield _dealt(list(zip(*(c.to_pylist() for c in some.columns), strict=True)), least)
+
+    return parts.mapInArrow(found, _FOUND)
+
+
 def _expanded(parts: DataFrame, least: int) -> DataFrame:
     """Spans by interval expansion; of hot grams the single strings (``string`` set)."""
 
@@ -355,20 +422,6 @@ def _expanded(parts: DataFrame, least: int) -> DataFrame:
             names=[f.split()[0] for f in _FOUND.split(", ")],
         )
 
-    def dealt(held: list[tuple]) -> pa.RecordBatch:
-        rows = []
-        for _, doc, mark, place, raw in held:
-            first = place >> 14
-            for j in range(len(raw) - least + 1):
-                digest = xxhash.xxh3_128_digest(raw[j : j + least])
-                rows.append((doc, mark, first + j, first + j + least, digest))
-        columns = zip(*rows, strict=True)
-        types = [pa.int64()] * 4 + [pa.binary()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-            names=[f.split()[0] for f in _FOUND.split(", ")],
-        )
-
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, done_size = [], 0  # whole grams that wait for a full chunk
         group, group_size, hot = [], 0, False
@@ -378,7 +431,7 @@ def _expanded(parts: DataFrame, least: int) -> DataFrame:
                 if row[0] != last:
                     if hot:
                         if group:
-                            yield dealt(group)
+                            yield _dealt(group, least)
                     else:
                         done += group
                         done_size += group_size
@@ -390,11 +443,11 @@ def _expanded(parts: DataFrame, least: int) -> DataFrame:
                 group_size += len(row[4])
                 if group_size > HOT:
                     hot = True
-                    yield dealt(group)
+                    yield _dealt(group, least)
                     group, group_size = [], 0
         if hot:
             if group:
-                yield dealt(group)
+                yield _dealt(group, least)
         else:
             done += group
         if done:
@@ -446,14 +499,21 @@ def repeat_spans(
         long_rows = long_rows.dropDuplicates(["doc", "mark"])
     anchored = stored(_anchored(long_rows, least), "stretches")
     stretch_rows = anchored.where("gram is not null").drop("start", "end")
-    compared = stored(_compared(stretch_rows, least), "compared")
-    wanted = compared.where("gram is not null").select("gram", "doc", "mark", "place")
-    found = stored(_expanded(_with_bytes(long_rows, wanted, least), least), "expanded")
+    crowded = _crowded(stretch_rows)
+    compared = stored(_compared(stretch_rows, least, crowded), "compared")
+    leads = compared.where("gram is not null").select("gram", "doc", "mark", "place")
+    meeting, hot = _wanted(leads, least, crowded)
+    found = stored(_expanded(_with_bytes(long_rows, meeting, least), least), "expanded")
+    strings = found.where("string is not null")
+    if not hot.isEmpty():
+        strings = strings.union(
+            stored(_strings(_with_bytes(long_rows, hot, least), least), "hot-strings")
+        )
     span = ["doc", "mark", "start", "end"]
     spans = anchored.where("gram is null").select(*span)
     spans = spans.union(compared.where("gram is null").select(*span))
     spans = spans.union(found.where("string is null").select(*span))
-    spans = spans.union(_of_strings(found.where("string is not null")))
+    spans = spans.union(_of_strings(strings))
     gathered = spans.groupBy("doc", "mark").agg(
         F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
     )

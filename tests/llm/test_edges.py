@@ -154,6 +154,28 @@ def test_hot_gram_followed_by_another(spark, monkeypatch, limit):
     assert got == {i: v[1] for i, v in brute.repeats(rows).items()}
 
 
+@pytest.mark.parametrize("hot", [0, 10**9])
+@pytest.mark.parametrize("batch", [3, 10000])
+def test_crowded_grams_are_spread(spark, monkeypatch, hot, batch):
+    """Grams shuffled with their content give the same repeats, by expansion and by strings."""
+    monkeypatch.setattr(repeats, "CROWD", 0)
+    monkeypatch.setattr(repeats, "CROWD_ROWS", 3)
+    monkeypatch.setattr(repeats, "HOT", hot)
+    shared = "abcdefghijklmnopqrstuvwxyz0123456789" * 4
+    rows = [(i, f"{chr(65 + i) * 9}{shared}{chr(75 + i % 3) * 9}") for i in range(9)]
+    rows += [(20 + i, f"{'same ' * 30}{shared[::-1]}") for i in range(5)] + [(40, "once " + shared[5:60] * 3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, batch)
+    try:
+        found = repeats.without_repeats(frame).collect()
+    finally:
+        spark.conf.set(name, before)
+    got = {r.doc_id: sum(s.end - s.start for s in r.spans) for r in found}
+    assert got == {i: v[1] for i, v in brute.repeats(rows).items()}
+
+
 @pytest.mark.parametrize("rows_of_a_batch", [1, 2, 3, 1000])
 def test_stretches_of_a_gram_over_many_batches(spark, rows_of_a_batch):
     """First stretches of grams with two contents or more, and spans of all equal ones."""
@@ -165,7 +187,7 @@ def test_stretches_of_a_gram_over_many_batches(spark, rows_of_a_batch):
     before = spark.conf.get(name)
     spark.conf.set(name, rows_of_a_batch)
     try:
-        found = repeats._compared(frame, 100).collect()
+        found = repeats._compared(frame, 100, F.lit(False)).collect()
     finally:
         spark.conf.set(name, before)
     kept = sorted((r.gram, r.content, r.doc) for r in found if r.gram is not None)
