@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,20 +17,29 @@ def _subfields(number: int) -> str:
     return f"subfields_{number}"
 
 
-def parse_messages(messages: DataFrame, column: str = "json_field") -> DataFrame:
+def parse_messages(
+    messages: DataFrame,
+    column: str = "json_field",
+    *,
+    elements: Collection[int] | None = None,
+) -> DataFrame:
     """Message id, simple elements and sub-field arrays, from a single JSON parse.
 
     A malformed message keeps its row, with every field NULL; an element of
-    the wrong shape is NULL by itself.
+    the wrong shape is NULL by itself. With ``elements`` only these are parsed and
+    returned, and others are skipped: Spark does not leave out unused ones by itself.
     """
-    parsed = messages.select(F.from_json(column, S.message_schema()).alias("m"))
+    schema = S.message_schema(elements)
+    parsed = messages.select(F.from_json(column, schema).alias("m"))
     simple = [
         F.col(f"m.DE{number}_ss.field_value").alias(name)
         for number, name in S.SIMPLE_ELEMENTS.items()
+        if f"DE{number}_ss" in schema.names
     ]
     arrays = [
         F.col(f"m.DE{number}_ss.subfield").alias(_subfields(number))
         for number in S.TAGGED_ELEMENTS
+        if f"DE{number}_ss" in schema.names
     ]
     return parsed.select(F.col("m.id").alias("message_id"), *simple, *arrays)
 

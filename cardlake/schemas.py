@@ -7,6 +7,8 @@ natural order.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import types as T
 
 # --------------------------------------------------------------------------
@@ -100,16 +102,18 @@ def strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def message_schema() -> T.StructType:
-    """The part of a message that is read.
+def message_schema(elements: Collection[int] | None = None) -> T.StructType:
+    """The part of a message that is read: all elements, or those named.
 
     Only the leaves that reach the output are declared, so the JSON parser
     skips everything else instead of materialising it.
     """
+    wanted = {*SIMPLE_ELEMENTS, *TAGGED_ELEMENTS} if elements is None else elements
     schema = strings("id")
-    for number in SIMPLE_ELEMENTS:
+    for number in filter(wanted.__contains__, SIMPLE_ELEMENTS):
         schema = schema.add(f"DE{number}_ss", strings("field_value"))
-    for number, (key, _) in TAGGED_ELEMENTS.items():
+    for number in filter(wanted.__contains__, TAGGED_ELEMENTS):
+        key, _ = TAGGED_ELEMENTS[number]
         items = T.ArrayType(strings(key, "field_value"))
         schema = schema.add(f"DE{number}_ss", T.StructType().add("subfield", items))
     return schema

@@ -126,13 +126,13 @@ def json_event_fields(spark, sf_dir):
 
 @query
 def json_parse_fields(spark, sf_dir):
-    parsed = authorization.parse_messages(view(spark, sf_dir, MESSAGES))
+    parsed = authorization.parse_messages(view(spark, sf_dir, MESSAGES), elements=S.SIMPLE_ELEMENTS)
     return parsed.select("message_id", *S.SIMPLE_ELEMENTS.values())
 
 
 @query
 def json_malformed(spark, sf_dir):
-    parsed = authorization.parse_messages(view(spark, sf_dir, MESSAGES))
+    parsed = authorization.parse_messages(view(spark, sf_dir, MESSAGES), elements=[37, 123])
     return parsed.select(
         "message_id",
         "Retrieval_Reference_Number",
@@ -142,7 +142,7 @@ def json_malformed(spark, sf_dir):
 
 @query
 def json_inline_outer(spark, sf_dir):
-    parsed = authorization.parse_messages(view(spark, sf_dir, MESSAGES))
+    parsed = authorization.parse_messages(view(spark, sf_dir, MESSAGES), elements=[37, 123])
     return parsed.select(
         "message_id", "Retrieval_Reference_Number", F.inline_outer("subfields_123")
     )

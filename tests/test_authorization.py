@@ -109,3 +109,21 @@ def test_yesterday_is_the_default_slice(spark):
         F.date_sub(F.current_date(), 1).cast("string")
     ).first()
     assert row.d == expected
+
+
+def test_elements_that_are_not_wanted_are_skipped(spark, sf_dir):
+    """Others may be missing, odd or cut short: what is read stays the same."""
+    documents = [
+        {"id": "a", "DE37_ss": {"field_value": "1"}, "DE123_ss": tags(("05", "2")), "DE2_ss": "odd"},
+        {"id": "b", "DE37_ss": {"field_value": "1"}, "DE123_ss": "text", "DE125_ss": 7},
+        {"DE123_ss": tags(("05", None)), "DE63_ss": [1]},
+        '{"id": "c", "DE37_ss": {"field_value": "1"}, "DE125_ss": {"subfield": [{"field',
+        "not json",
+    ]
+    names = ["message_id", "Retrieval_Reference_Number", "subfields_123"]
+    for messages in (frame_of(spark, *documents), view(spark, sf_dir, MESSAGES)):
+        some = auth.parse_messages(messages, elements=[37, 123])
+        assert some.columns == names
+        whole = auth.parse_messages(messages).select(*names)
+        text = [F.col(c).cast("string") for c in names]
+        assert spark_rows(some.select(*text)) == spark_rows(whole.select(*text))
