@@ -4,17 +4,26 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from cardlake.operators.joins import stored_bytes
 from cardlake.sources import table_files
 
 # How a partition of NULLs is named, in the file layout of Hive.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+# Partition values that a task writes side by side; beyond, it sorts its rows by them.
+_FILES_AT_ONCE = 8
+
+# Stored bytes below a frame for each bucket of it, packed as they are.
+BUCKET_BYTES = 16 * 1024 * 1024
+# The same for each range that a task sorts and writes.
+RANGE_BYTES = 4 * 1024 * 1024
 
 
 def laid_out(
@@ -75,10 +84,11 @@ def append_partitions(
     """Adds rows to a partitioned table. Running it twice adds them twice.
 
     ``gather=False`` skips the shuffle; right when the rows hold few partition
-    values, such as one day of messages.
+    values, such as one day of messages. A few are not sorted either.
     """
     rows = laid_out(frame, by, sort) if gather else frame
-    _save(rows.write.mode("append").format("orc").partitionBy(*by), target)
+    with _few_open(rows.sparkSession, gather):
+        _save(rows.write.mode("append").format("orc").partitionBy(*by), target)
 
 
 def append(frame: DataFrame, target: str) -> None:
@@ -104,9 +114,12 @@ def write_ranged(
 ) -> None:
     """Adds rows to a partitioned table in files that do not overlap in ``sort`` order.
 
-    No file gets more than ``rows_per_file`` rows; see ``ranged`` for the rest. Running
-    it twice adds the rows twice.
+    No file gets more than ``rows_per_file`` rows; see ``ranged`` for the rest. There are
+    more than ``files`` ranges, by a whole factor, where the files below ``frame`` hold
+    more than ``RANGE_BYTES`` for each. Running it twice adds the rows twice.
     """
+    if files is not None:
+        files = _by_size(frame, files, RANGE_BYTES)
     rows = ranged(frame, by, sort, files=files, spread=spread)
     writer = rows.write.mode("append").format("orc").partitionBy(*by)
     if rows_per_file is not None:
@@ -114,6 +127,11 @@ def write_ranged(
     _save(writer, target)
 
 
+def _by_size(frame: DataFrame, least: int, each: int) -> int:
+    """A multiple of ``least`` that leaves at most ``each`` stored bytes to one part."""
+    return least * max(1, -(-(stored_bytes(frame) or 0) // (each * least)))
+
+
 def overwrite_bucketed(
     frame: DataFrame,
     target: str,
@@ -127,11 +145,14 @@ def overwrite_bucketed(
 
     Joins and aggregates on all of ``by`` then read it without a shuffle; the other side
     is shuffled into as many buckets. Rows are gathered by bucket first, so there is one
-    file a bucket. ``path`` keeps the files out of the warehouse. Only a
+    file a bucket. One task reads, sorts and joins a bucket, so there are more than
+    ``buckets``, by a whole factor, where the files below ``frame`` hold more than
+    ``BUCKET_BYTES`` for each. ``path`` keeps the files out of the warehouse. Only a
     catalog knows of buckets, so a path alone cannot be a target.
     """
     if "/" in target:
         raise ValueError(f"buckets need a catalog table, not the path {target}")
+    buckets = _by_size(frame, buckets, BUCKET_BYTES)
     order = [*by, *[c for c in sort if c not in by]]
     gathered = frame.repartition(buckets, *by).sortWithinPartitions(*order)
     writer = gathered.write.mode("overwrite").format("orc").bucketBy(buckets, *by).sortBy(*order)
@@ -139,13 +160,18 @@ def overwrite_bucketed(
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+        spark.conf.set(name, before)
+
+
+def _few_open(spark: SparkSession, gathered: bool):
+    """While rows are written that were not gathered, a task keeps a few files open."""
+    return nullcontext() if gathered else _setting(spark, _OPEN_FILES, str(_FILES_AT_ONCE))
 
 
 def replace_partitions(
@@ -176,7 +202,7 @@ def _write_partitions(rows: DataFrame, target: str, by: Sequence[str]) -> None:
         return
     # insertInto goes by position and keeps partition columns last.
     columns = spark.table(target).columns
-    with _dynamic_overwrite(spark):
+    with _setting(spark, _OVERWRITE_MODE, "dynamic"):
         rows.select(*columns).write.insertInto(target, overwrite=True)
 
 
@@ -232,7 +258,8 @@ def replace_whole(
     before = _files(spark, target, scope)
     if gather:
         rows = laid_out(rows, columns, sort)
-    _write_partitions(rows, target, columns)
+    with _few_open(spark, gather):
+        _write_partitions(rows, target, columns)
     # What was there before and still is lies in partitions that were not written.
     stale = before & _files(spark, target, scope)
     for folder in sorted({f.rsplit("/", 1)[0] for f in stale}):

@@ -12,6 +12,7 @@ from cardlake import schemas as S
 from cardlake import sinks
 from cardlake.operators import filters, joins, lookups, matching
 from cardlake.plans import authorization_trace, chargebacks, fraud_report, presentments
+from cardlake.sinks import orc
 from cardlake.sources import day_slice, read_table
 from fixtures.adapters import MESSAGES, view
 from fixtures.queries import QUERIES
@@ -261,3 +262,25 @@ def test_large_lookup_has_a_hot_key_split_at_run_time(spark, splitting):
     assert "skew=true" in physical(joined)
     sizes = rows_of_tasks(joined)
     assert sum(sizes) == 10000 + 1000 and max(sizes) < 11000 / 2
+
+
+def test_buckets_and_ranges_follow_the_input(spark, sf_dir, tmp_path, monkeypatch):
+    """More stored bytes make more of them, and no row is lost."""
+    monkeypatch.setattr(orc, "BUCKET_BYTES", 1 << 10)
+    monkeypatch.setattr(orc, "RANGE_BYTES", 1 << 10)
+    path = str(tmp_path / "rows")
+    spread = F.xxhash64("id").alias("id")
+    spark.range(20_000).select(spread, (F.col("id") % 2).alias("p")).write.orc(path)
+    rows = spark.read.orc(path)
+    sinks.overwrite_bucketed(rows, "sized_buckets", ["id"], 2)
+    try:
+        table = spark.table("sized_buckets")
+        assert table.count() == 20_000
+        assert table.select("_metadata.file_name").distinct().count() > 2
+    finally:
+        spark.sql("drop table sized_buckets")
+    ranges = str(tmp_path / "ranges")
+    sinks.write_ranged(rows, ranges, ["p"], ["id"], files=2)
+    written = spark.read.orc(ranges)
+    assert written.count() == 20_000
+    assert written.select("_metadata.file_name").distinct().count() > 2
