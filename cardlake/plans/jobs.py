@@ -67,7 +67,8 @@ def _store_load(
     """One load, in place of what it stored before, or appended without a load column."""
     if load_column is not None:
         scope = {load_column: run_date}
-        replace_whole(rows, target, by, scope=scope, sort=sort, gather=gather)
+        # a load without further partitions is one value, for which nothing is gathered
+        replace_whole(rows, target, by, scope=scope, sort=sort, gather=gather and bool(by))
     elif by:
         append_partitions(rows, target, by, sort=sort, gather=gather)
     else:
@@ -260,7 +261,7 @@ def totals_job(
         *tables, **options,
     )
     rows = merged(added.unionByName(late))
-    replace_whole(rows, target, [], scope={load_column: run_date})
+    replace_whole(rows, target, [], scope={load_column: run_date}, gather=False)
 
 
 def merged_report_job(spark: SparkSession, *, totals: str, target: str) -> None:

@@ -584,7 +584,7 @@ def _feed_by_day(spark: SparkSession, sf_dir: str) -> str:
     parts = {"year": F.lit("2024"), "month": F.lit("01"), "day": load_day}
     # a row without a day is no presentment, so its place must not give it one
     rows = view(spark, sf_dir, "presentment_feed").where("day is not null").withColumns(parts)
-    sinks.append_partitions(rows, feed, list(parts))
+    sinks.append_partitions(rows, feed, list(parts), gather=False)
     return feed
 
 

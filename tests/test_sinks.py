@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cardlake import schemas as S
 from cardlake import sinks
 from cardlake.operators import filters, incremental
-from cardlake.plans import jobs
+from cardlake.plans import clearing, jobs
 from cardlake.sources import day_slice, read_table, table_exists, ymd_days, ymd_partition
 from fixtures.adapters import MESSAGES, view
 from fixtures.queries import ELABORATION_DAY, MESSAGE_DAY, QUERIES
@@ -450,3 +450,36 @@ def test_impossible_dates_by_path(spark, tmp_path):
     stored = read_table(spark, path, text=["transaction_date"])
     other = spark.createDataFrame([(3, "2020-13-32")], "n int, transaction_date string")
     assert {tuple(r) for r in stored.unionByName(other).collect()} == {*rows, (3, "2020-13-32")}
+
+
+@pytest.mark.parametrize("name", ["presentment_incremental", "presentment_loads"])
+def test_loads_of_few_days_are_not_gathered(spark, sf_dir, monkeypatch, name):
+    expected = spark_rows(QUERIES["presentment"](spark, sf_dir))
+    monkeypatch.setattr(sinks.orc, "laid_out", None)
+    found = QUERIES[name](spark, sf_dir)
+    assert spark_rows(found.select(*S.CLEARING_COLUMNS)) == expected
+
+
+@pytest.mark.parametrize(
+    "name", ["clearing_stored_by_date", "report_incremental", "report_months", "report_merged"]
+)
+def test_chargebacks_search_the_stored_presentments(spark, sf_dir, monkeypatch, name):
+    """Presentments are derived once, also where chargebacks need them."""
+    built, build = [], clearing.presentments
+
+    def counted(*tables, **options):
+        built.append(1)
+        return build(*tables, **options)
+
+    monkeypatch.setattr(clearing, "presentments", counted)
+    assert QUERIES[name](spark, sf_dir).count() and len(built) == 1
+
+
+def test_few_partition_values_leave_the_setting(spark, rows, tmp_path):
+    """Rows that are not gathered are written in full, and the session is as before."""
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    many = spark.range(300).select(F.col("id").alias("n"), (F.col("id") % 30).alias("p"))
+    path = str(tmp_path / "many")
+    sinks.append_partitions(many, path, ["p"], gather=False)
+    assert read_table(spark, path).select("n", "p").distinct().count() == 300
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
