@@ -392,17 +392,21 @@ def presentment(spark, sf_dir):
     )
 
 
-@query
-def chargeback(spark, sf_dir):
+def _chargebacks_of(spark: SparkSession, sf_dir: str, presented: DataFrame) -> DataFrame:
     return clearing.chargebacks(
         view(spark, sf_dir, "chargeback_feed"),
-        presentment(spark, sf_dir),
+        presented,
         view(spark, sf_dir, "bins"),
         view(spark, sf_dir, "categories"),
         view(spark, sf_dir, "merchant_groups"),
     )
 
 
+@query
+def chargeback(spark, sf_dir):
+    return _chargebacks_of(spark, sf_dir, presentment(spark, sf_dir))
+
+
 @query
 def chargeback_stripped(spark, sf_dir):
     return clearing.chargebacks(
@@ -620,7 +624,8 @@ def clearing_stored_by_date(spark, sf_dir):
     """The clearing tables read by path, one of them stored by date."""
     presented, back = scratch_path(spark, "presented"), scratch_path(spark, "charged-back")
     sinks.overwrite(presentment(spark, sf_dir), presented)
-    sinks.append_partitions(chargeback(spark, sf_dir), back, ["transaction_date"])
+    charged_back = _chargebacks_of(spark, sf_dir, read_table(spark, presented))
+    sinks.append_partitions(charged_back, back, ["transaction_date"])
     return clearing.clearing_union(
         read_table(spark, presented), read_table(spark, back, text=["transaction_date"])
     )
@@ -630,12 +635,26 @@ def clearing_stored_by_date(spark, sf_dir):
 def report_incremental(spark, sf_dir):
     """A report by month, brought up to date for late presentments and chargebacks."""
     late = F.coalesce(F.substring("transaction_date", 9, 2) > "20", F.lit(False))
-    rows = presentment(spark, sf_dir), chargeback(spark, sf_dir)
+    # what arrives is derived once, and read by every step that follows
+    arriving = scratch_path(spark, "presented-all"), scratch_path(spark, "charged-back-all")
+    for build, path in zip(
+        (
+            lambda: presentment(spark, sf_dir),
+            lambda: _chargebacks_of(spark, sf_dir, read_table(spark, arriving[0], S.CLEARING_COLUMNS)),
+        ),
+        arriving,
+        strict=True,
+    ):
+        sinks.append_partitions(build().withColumn("late", late), path, ["late"], gather=False)
     stored = scratch_path(spark, "presented"), scratch_path(spark, "charged-back")
     tables = _stored_lookups(spark, sf_dir, "issuers", "report_groups", "periods", "wallets")
     target = scratch_path(spark, "report")
-    for arrived in (~late, late):
-        new = [frame.where(arrived) for frame in rows]
+    for arrived in ("false", "true"):
+        came = F.col("late").cast("string") == arrived
+        new = [
+            read_table(spark, path, text=["late"]).where(came).select(*S.CLEARING_COLUMNS)
+            for path in arriving
+        ]
         for frame, path in zip(new, stored, strict=True):
             sinks.append(frame, path)
         touched = report.touched_months(read_table(spark, stored[0]), *new)
@@ -652,9 +671,10 @@ def report_months(spark, sf_dir):
     stored = scratch_path(spark, "presented")
     rows = sinks.ranged(presentment(spark, sf_dir), sort=["transaction_date"], spread=["arn"])
     sinks.overwrite(rows, stored)
+    presented = read_table(spark, stored, text=["transaction_date"])
     return report.fraud_report(
-        read_table(spark, stored, text=["transaction_date"]),
-        chargeback(spark, sf_dir),
+        presented,
+        _chargebacks_of(spark, sf_dir, presented),
         view(spark, sf_dir, "issuers"),
         view(spark, sf_dir, "report_groups"),
         view(spark, sf_dir, "periods"),
@@ -673,12 +693,13 @@ def report_merged(spark, sf_dir):
     late = F.coalesce(F.substring("transaction_date", 9, 2) > "20", F.lit(False))
     later = F.coalesce(late | (F.substring("issuer_code", -1, 1) > "6"), F.lit(False))
     presented, back = scratch_path(spark, "presented"), scratch_path(spark, "charged-back")
-    for frame, path, second in (
-        (presentment(spark, sf_dir), presented, late),
-        (chargeback(spark, sf_dir), back, later),
+    for build, path, second in (
+        (lambda: presentment(spark, sf_dir), presented, late),
+        (lambda: _chargebacks_of(spark, sf_dir, read_table(spark, presented)), back, later),
     ):
         load = F.when(second, LOADS[1]).otherwise(LOADS[0])
-        sinks.append_partitions(frame.withColumn("load_date", load), path, ["load_date"])
+        rows = build().withColumn("load_date", load)
+        sinks.append_partitions(rows, path, ["load_date"], gather=False)
     tables = _stored_lookups(spark, sf_dir, "issuers", "report_groups", "periods", "wallets")
     totals, target = scratch_path(spark, "totals"), scratch_path(spark, "report")
     for run_date in (*LOADS, LOADS[1]):
