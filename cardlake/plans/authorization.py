@@ -30,7 +30,11 @@ def parse_messages(
     returned, and others are skipped: Spark does not leave out unused ones by itself.
     """
     schema = S.message_schema(elements)
-    parsed = messages.select(F.from_json(column, schema).alias("m"))
+    # Parsing is not generated code, and what is merged into it is interpreted as well. A
+    # text that is used twice is not merged: Spark makes it in a projection of its own.
+    text = F.col(column)
+    document = F.when(text.isNotNull(), F.from_json(text, schema))
+    parsed = messages.select(document.alias("m"))
     simple = [
         F.col(f"m.DE{number}_ss.field_value").alias(name)
         for number, name in S.SIMPLE_ELEMENTS.items()

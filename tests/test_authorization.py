@@ -127,3 +127,11 @@ def test_elements_that_are_not_wanted_are_skipped(spark, sf_dir):
         whole = auth.parse_messages(messages).select(*names)
         text = [F.col(c).cast("string") for c in names]
         assert spark_rows(some.select(*text)) == spark_rows(whole.select(*text))
+
+
+def test_text_of_a_message_is_made_before_it_is_parsed(spark, sf_dir):
+    """Parsing is interpreted, and so would be whatever Spark merges into it."""
+    trace = auth.authorization_trace(view(spark, sf_dir, MESSAGES), "2024-02-29")
+    plan = trace._jdf.queryExecution().optimizedPlan().toString()
+    parsing = [line for line in plan.splitlines() if "from_json" in line]
+    assert len(parsing) == 1 and "to_json" not in parsing[0]
