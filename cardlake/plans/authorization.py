@@ -48,22 +48,27 @@ def parse_messages(
     return parsed.select(F.col("m.id").alias("message_id"), *simple, *arrays)
 
 
-def _tagged() -> list[Column]:
+def _tagged(numbers: Collection[int]) -> list[Column]:
     return [
         fn.tag_value(F.col(_subfields(number)), key, wanted).alias(name)
         for number, (key, tags) in S.TAGGED_ELEMENTS.items()
+        if number in numbers
         for wanted, name in tags.items()
     ]
 
 
-def message_fields(messages: DataFrame, column: str = "json_field") -> DataFrame:
-    """Simple elements and pivoted sub-fields of every message."""
-    parsed = parse_messages(messages, column)
-    ordered = {
-        name: fn.order_subfields(F.col(name))
-        for name in map(_subfields, S.TAGGED_ELEMENTS)
-    }
-    return parsed.withColumns(ordered).select("message_id", *_SIMPLE, *_tagged())
+def message_fields(
+    messages: DataFrame,
+    column: str = "json_field",
+    *,
+    elements: Collection[int] | None = None,
+) -> DataFrame:
+    """Simple elements and pivoted sub-fields of every message, or those of ``elements``."""
+    parsed = parse_messages(messages, column, elements=elements)
+    numbers = [n for n in S.TAGGED_ELEMENTS if _subfields(n) in parsed.columns]
+    simple = [name for name in _SIMPLE if name in parsed.columns]
+    ordered = {name: fn.order_subfields(F.col(name)) for name in map(_subfields, numbers)}
+    return parsed.withColumns(ordered).select("message_id", *simple, *_tagged(numbers))
 
 
 def authorization_trace(

@@ -150,7 +150,9 @@ def json_inline_outer(spark, sf_dir):
 
 @query
 def tag_pivot(spark, sf_dir):
-    fields = authorization.message_fields(view(spark, sf_dir, MESSAGES))
+    fields = authorization.message_fields(
+        view(spark, sf_dir, MESSAGES), elements=[37, *S.TAGGED_ELEMENTS]
+    )
     names = [n for _, tags in S.TAGGED_ELEMENTS.values() for n in tags.values()]
     return fields.select("message_id", "Retrieval_Reference_Number", *names)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cardlake import schemas as S
 from cardlake.plans import authorization as auth
 from fixtures.adapters import MESSAGES, view
+from fixtures.queries import QUERIES
 from tests.compare import spark_rows
 from tests.literal import exploded_pivot, repeated_parse
 
@@ -135,3 +136,14 @@ def test_text_of_a_message_is_made_before_it_is_parsed(spark, sf_dir):
     plan = trace._jdf.queryExecution().optimizedPlan().toString()
     parsing = [line for line in plan.splitlines() if "from_json" in line]
     assert len(parsing) == 1 and "to_json" not in parsing[0]
+
+
+def test_pivot_of_some_elements_parses_no_others(spark, sf_dir):
+    fields = auth.message_fields(view(spark, sf_dir, MESSAGES), elements=[37, 63])
+    names = ["message_id", "Retrieval_Reference_Number", "Network_Data", "Message_Reason_Code"]
+    assert fields.columns == names
+    whole = auth.message_fields(view(spark, sf_dir, MESSAGES)).select(*names)
+    assert spark_rows(fields) == spark_rows(whole)
+    plan = QUERIES["tag_pivot"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    parsing = [line for line in plan.splitlines() if "from_json" in line]
+    assert len(parsing) == 1 and "DE2_ss" not in parsing[0] and "DE123_ss" in parsing[0]
