@@ -96,31 +96,48 @@ def with_reporting_issuer(
     return members.drop("_issuer", "group_code")
 
 
-def _month_bin(date: Column) -> Column:
-    """Year and month of a stored date; '' for text of another shape."""
+# Bins go round after so many months: a longer period has a row for each of them, no more.
+_MONTH_BINS = 240
+_ODD_BIN = -1
+
+
+def _month_number(date: Column) -> Column:
+    """Months since year 0 of a stored date; NULL for text of another shape.
+
+    It never falls as the text grows: months over 12 or under 1 count as the nearest.
+    """
     month = F.substring(date, 1, 7)
-    return F.when(month.rlike(r"^\d{4}-\d{2}$"), month).otherwise("")
+    year = F.substring(month, 1, 4).try_cast("int")
+    of_year = F.least(F.greatest(F.substring(month, 6, 2).try_cast("int"), F.lit(1)), F.lit(12))
+    return F.when(month.rlike(r"^\d{4}-\d{2}$"), year * 12 + of_year - 1)
 
 
 def in_month_bins(
     presentments: DataFrame, periods: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Presentments with the month of their date, periods with a row per month they touch.
+    """Presentments with a bin of their month, periods with a row per bin they touch.
 
-    The column is ``_bin``. A period has rows for months in which there are presentments
-    only, so one without end has few, and one for dates of odd shape, which are compared
-    with every period of their issuer. A date has one bin, so a pair meets once at most.
-    Text order keeps: a date between two others has its month between theirs.
+    The column is ``_bin``. Months far apart share a bin, so a period without end has few
+    rows and nothing has to be known of the presentments first. Dates of odd shape have a bin
+    of their own, in which every period has a row; a period with an end of odd shape has one
+    in all bins. A date has one bin, so a pair meets once at most.
     """
-    binned = presentments.withColumn("_bin", _month_bin(F.col("transaction_date")))
-    # at most a million values of this shape, a few hundred in practice
-    months = binned.where("_bin <> ''").agg(F.collect_set("_bin")).scalar()
-    first, last = F.substring("_start", 1, 7), F.substring("_end", 1, 7)
-    touched = F.filter("_months", lambda m: m.between(first, last))
+    number = _month_number(F.col("transaction_date"))
+    bins = F.coalesce(number % _MONTH_BINS, F.lit(_ODD_BIN))
+    binned = presentments.withColumn("_bin", bins)
+    first, last = F.col("_first"), F.col("_last")
+    months = F.sequence(first, F.least(last, first + (_MONTH_BINS - 1)))
+    touched = (
+        F.when(first.isNull() | last.isNull(), F.sequence(F.lit(0), F.lit(_MONTH_BINS - 1)))
+        .when(first <= last, F.transform(months, lambda m: m % _MONTH_BINS))
+    )
     rows = (
-        periods.withColumn("_months", months)
-        .withColumn("_bin", F.explode(F.concat(F.array(F.lit("")), touched)))
-        .drop("_months")
+        periods.where(F.col("_start") <= F.col("_end"))
+        .withColumns(
+            {"_first": _month_number(F.col("_start")), "_last": _month_number(F.col("_end"))}
+        )
+        .withColumn("_bin", F.explode(F.concat(F.array(F.lit(_ODD_BIN)), touched)))
+        .drop("_first", "_last")
     )
     return binned, rows
 

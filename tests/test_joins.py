@@ -205,6 +205,27 @@ def test_month_bins_keep_a_hot_issuer_from_all_its_periods(spark):
     assert lookups.within_validity(fp, periods, limit=0).count() == 7200
 
 
+def test_month_bins_need_no_look_at_the_presentments(spark):
+    """They are read once; months that share a bin are told apart by the dates."""
+    dates = [f"{y}-{m}-15" for y in ("1980", "2000", "2020", "2040") for m in ("00", "01", "12", "13")]
+    rows = [(d, "hot", d) for d in dates]
+    fp = spark.createDataFrame(rows, "arn string, issuer_code string, transaction_date string")
+    own = [
+        ("2000-01-01", "2000-12-31"), ("2000-01-01", "9999-12-31"), ("1980-12-16", "2020-01-14"),
+        ("1999-13-01", "2000-00-20"), ("2000-12-20", "2000-13-20"), ("odd", "~"), ("0", "2020-01-15"),
+    ]
+    periods = spark.createDataFrame(
+        [("hot", *p) for p in own], "issuer_code string, start_attivation string, end_attivation string"
+    )
+    joined = lookups.within_validity(fp, periods, limit=0)
+    expected = Counter((d, "hot", d) for d in dates for s, e in own if s <= d <= e)
+    assert Counter(map(tuple, joined.collect())) == expected
+    assert "scalar-subquery" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    named = periods.selectExpr("issuer_code _issuer", "start_attivation _start", "end_attivation _end")
+    _, bins = lookups.in_month_bins(fp, named)
+    assert bins.count() == bins.distinct().count()
+
+
 def test_stale_statistics_force_no_broadcast(spark):
     """Files another writer added count, whatever the catalog still says."""
     spark.sql("create database if not exists stale")
